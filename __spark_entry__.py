@@ -203,8 +203,9 @@ def live_events_poisson(spark, sf_dir):
 
 def poisson_interval(spark, sf_dir):
     past = bursts.current_vs_past(fixed_batch_counts(spark, sf_dir), 5, 0)
-    totals = past.select(F.col("n_past").alias("total"), F.lit(4).alias("n")).distinct()
-    return totals.withColumn("ci", F.round(poisson_ci(F.col("total"), 4), 4))
+    totals = past.select(F.col("n_past").alias("total")).distinct()
+    width = F.round(poisson_ci(F.col("total"), 4), 4)
+    return totals.select("total", F.lit(4).alias("n"), width.alias("ci"))
 
 
 def _is_last_day():
@@ -257,16 +258,21 @@ def bag_of_words(spark, sf_dir):
     return topics.bag_of_words(arrays, topics.vectorizer(arrays))
 
 
+def _lda_words(spark, sf_dir):
+    """In the input's own partitions: each of the optimiser's passes reads a small sample."""
+    return topic_plans.words_between(_posts(spark, sf_dir), *WEEK, COMMON)
+
+
 def lda_topics(spark, sf_dir):
-    return topics.fit_topics(_word_arrays(spark, sf_dir)).topics()
+    return topics.fit_topics(_lda_words(spark, sf_dir)).topics()
 
 
 def lda_post_topics(spark, sf_dir):
-    return topics.fit_topics(_word_arrays(spark, sf_dir)).post_topics()
+    return topics.fit_topics(_lda_words(spark, sf_dir)).post_topics()
 
 
 def lda_quality(spark, sf_dir):
-    return topics.fit_topics(_word_arrays(spark, sf_dir)).quality()
+    return topics.fit_topics(_lda_words(spark, sf_dir)).quality()
 
 
 # --- streams -------------------------------------------------------------------------

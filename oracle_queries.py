@@ -114,7 +114,7 @@ CTES = {
         SELECT post_id,
                list_filter(regexp_split_to_array(lower(text), '"""
     + BASIC
-    + """'), lambda w: NOT list_contains((SELECT list(word) FROM stop), w)) AS words
+    + """'), lambda w: NOT list_contains([{stop_list}], w)) AS words
         FROM posts WHERE ts > TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-08'""",
     "vocabulary": """
         SELECT CAST(row_number() OVER (ORDER BY count DESC, term) - 1 AS INTEGER) AS term_idx,
@@ -178,14 +178,15 @@ NEEDS = {
     "replayed": ["normalized", "anchors"],
     "replay_counts": ["replayed"],
     "hourly": ["normalized"],
-    "kept": ["posts", "stop"],
+    "kept": ["posts"],
     "vocabulary": ["kept"],
 }
 
 
 def _query(select: str, *needed: str, extra: dict[str, str] | None = None, **values) -> str:
     """`select` below the CTEs it needs, in order of dependence."""
-    values = {"min_count": 10, "seconds": "seconds", "placed": "replayed", **values}
+    stop_list = ", ".join(f"'{w}'" for w in COMMON)
+    values = {"stop_list": stop_list, "min_count": 10, "seconds": "seconds", "placed": "replayed", **values}
     needs = {**NEEDS, "anchors": [values["seconds"]], "versus_history": [values["placed"]]}
     if values["seconds"] == "event_seconds":
         needs["event_seconds"] = []

@@ -1,0 +1,69 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordtide.functions import times
+
+
+def test_parse_created_at(spark):
+    frame = spark.createDataFrame(
+        [("Sat Feb 01 06:00:05 +0000 2020",), ("Sat Feb 1 06:00:05 +0200 2020",), ("nonsense",), (None,)],
+        "c STRING",
+    )
+    rows = frame.select(
+        times.parse_created_at(F.col("c")).alias("utc"),
+        times.parse_created_at(F.col("c"), "Europe/Paris").alias("paris"),
+    ).collect()
+    assert rows[0].utc == datetime(2020, 2, 1, 6, 0, 5)
+    assert rows[0].paris == datetime(2020, 2, 1, 7, 0, 5)
+    assert rows[1].utc == datetime(2020, 2, 1, 4, 0, 5)
+    assert rows[2].utc is None and rows[3].utc is None
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_does_not_depend_on_the_session_zone(spark, make_posts, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 does not exist in New York on that day.
+        posts = make_posts([("2024-03-10 02:30:00", "x")])
+        row = posts.select(
+            times.epoch_second(F.col("ts")).alias("s"),
+            times.quarter_of_day(F.col("ts")).alias("q"),
+            times.ntz_from_epoch(times.epoch_second(F.col("ts"))).cast("string").alias("t"),
+        ).first()
+        assert (row.s, row.q, row.t) == (1710037800, 0, "2024-03-10 02:30:00")
+        parsed = spark.createDataFrame([("Sun Mar 10 02:30:00 +0000 2024",)], "c STRING").select(
+            times.parse_created_at(F.col("c")).cast("string").alias("t")
+        )
+        assert parsed.first().t == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_quarters_lose_five_seconds(make_posts):
+    cases = {
+        "05:59:59": 0, "06:00:00": None, "06:00:01": 1, "11:59:59": 1, "12:00:00": None,
+        "18:00:00": None, "23:59:58": 3, "23:59:59": None, "00:00:00": None, "00:00:01": 0,
+    }
+    posts = make_posts([(f"2024-01-01 {t}", t) for t in cases])
+    rows = posts.select(
+        "text",
+        F.when(times.inside_quarter(F.col("ts")), times.quarter_of_day(F.col("ts"))).alias("q"),
+    ).collect()
+    assert {r.text: r.q for r in rows} == cases
+
+
+def test_range_excludes_both_ends_at_whole_seconds(make_posts):
+    posts = make_posts(
+        [
+            ("2024-01-01 10:00:00.999", "low"),
+            ("2024-01-01 10:00:01", "in"),
+            ("2024-01-01 10:59:59.999", "in"),
+            ("2024-01-01 11:00:00", "high"),
+        ]
+    )
+    inside = posts.where(
+        times.strictly_between(F.col("ts"), "2024-01-01 10:00:00", "2024-01-01 11:00:00")
+    )
+    assert [r.text for r in inside.collect()] == ["in", "in"]

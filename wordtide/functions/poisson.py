@@ -114,15 +114,23 @@ def interval_width(
 
 
 def poisson_ci(
-    total: Column, samples: int, alpha: float = 0.99, textbook: bool = False
+    total: Column,
+    samples: int,
+    alpha: float = 0.99,
+    textbook: bool = False,
+    pinned: bool = False,
 ) -> Column:
-    """`interval_width` of a column, one numpy call per Arrow batch."""
+    """`interval_width` of a column, one numpy call per Arrow batch.
+
+    `pinned` declares the function non-deterministic, which it is not, so that Catalyst
+    does not move a filter on the width below its projection and compute it twice.
+    """
 
     @F.pandas_udf("double")
     def width(totals: pd.Series) -> pd.Series:
         return pd.Series(interval_width(totals.to_numpy(), samples, alpha, textbook))
 
-    return width(total.cast("double"))
+    return (width.asNondeterministic() if pinned else width)(total.cast("double"))
 
 
 def poisson_ci_floor(

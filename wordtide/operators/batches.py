@@ -44,7 +44,7 @@ def replay_anchors(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFram
         anchors.alias("anchors"),
         (F.element_at("seconds", -1) + 1).alias("stop_sec"),
     )
-    batches = chains.select("*", F.posexplode("anchors").alias("batch_idx", "anchor_sec"))
+    batches = chains.select("*", F.posexplode_outer("anchors").alias("batch_idx", "anchor_sec"))
     return batches.select(
         "day",
         "batch_idx",

@@ -107,7 +107,7 @@ def with_margin(
         total = F.col("avg_past") * samples
         floor = eta * poisson_ci_floor(total, samples, alpha, textbook)
         counts = counts.where(excess > floor)
-        margin = eta * poisson_ci(total, samples, alpha, textbook)
+        margin = eta * poisson_ci(total, samples, alpha, textbook, pinned=True)
     marked = counts.withColumn("margin", margin)
     return marked.where(F.col("n_now") > F.col("margin") + F.col("avg_past"))
 

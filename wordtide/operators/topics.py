@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,22 +14,41 @@ from wordtide.functions import patterns as P, text as T
 from wordtide.sources.stopwords import StopWords
 
 SEED = 42
+LISTED_STOPWORDS = 10_000
 
 
 def word_arrays(posts: DataFrame, stop: StopWords, drop_empty: bool = False) -> DataFrame:
     """`post_id, words`: basic tokens without stop words, ignoring case.
 
-    Empty words count as words unless `drop_empty`. A stop list given as a DataFrame is
-    read to the driver, as the remover needs it there; it is a word list, not data.
+    Empty words count as words unless `drop_empty`. A stop list given as a DataFrame of
+    up to `LISTED_STOPWORDS` words is read to the driver and becomes a predicate; a
+    longer one is joined word by word, for which `post_id` must be unique.
     """
-    if isinstance(stop, DataFrame):
-        stop = [row.word for row in stop.toLocalIterator()]
-    remover = StopWordsRemover(
-        inputCol="raw", outputCol="words", stopWords=list(stop), locale="en_US"
-    )
     raw = F.coalesce(T.basic_words(F.col("text")), F.array().cast("array<string>"))
     raw = F.array_remove(raw, "") if drop_empty else raw
-    return remover.transform(posts.select("post_id", raw.alias("raw"))).drop("raw")
+    arrays = posts.select("post_id", raw.alias("words"))
+    if isinstance(stop, DataFrame):
+        listed = [row.word for row in stop.limit(LISTED_STOPWORDS + 1).collect()]
+        if len(listed) > LISTED_STOPWORDS:
+            return _without_joined(arrays, stop)
+        stop = listed
+    # The words are in lower case already.
+    lowered = [word.lower() for word in stop]
+    if not lowered:
+        return arrays
+    return arrays.withColumn("words", F.filter("words", lambda w: ~w.isin(lowered)))
+
+
+def _without_joined(arrays: DataFrame, stop: DataFrame) -> DataFrame:
+    lowered = stop.select(F.lower("word").alias("word"), F.lit(True).alias("stopped")).distinct()
+    placed = arrays.select("post_id", F.posexplode_outer("words").alias("position", "word"))
+    kept = F.when(F.col("stopped").isNull() & F.col("word").isNotNull(), F.struct("position", "word"))
+    return (
+        placed.join(lowered, "word", "left")
+        .groupBy("post_id")
+        .agg(F.sort_array(F.collect_list(kept)).alias("kept"))
+        .select("post_id", F.col("kept.word").alias("words"))
+    )
 
 
 def vocabulary(words: DataFrame, size: int = P.VOCABULARY_SIZE) -> DataFrame:
@@ -37,8 +56,10 @@ def vocabulary(words: DataFrame, size: int = P.VOCABULARY_SIZE) -> DataFrame:
 
     The numbering window sees `size` rows only.
     """
-    terms = words.select(F.explode("words").alias("term")).groupBy("term")
-    top = terms.agg(F.count("*").alias("count")).orderBy(F.desc("count"), "term").limit(size)
+    # The outer form: for the inner one Catalyst infers a size filter on the array below
+    # the Generate, which computes each array twice.
+    terms = words.select(F.explode_outer("words").alias("term")).where("term IS NOT NULL")
+    top = terms.groupBy("term").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "term").limit(size)
     rank = F.row_number().over(Window.orderBy(F.desc("count"), "term")) - 1
     return top.select(rank.alias("term_idx"), "term", "count")
 
