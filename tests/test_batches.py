@@ -71,3 +71,20 @@ def test_posts_are_not_shuffled(make_posts):
     plan = batches.with_replay_batch(make_posts([(0, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") == 1
+
+
+def test_large_lookups_are_shuffled(make_posts, monkeypatch):
+    from wordtide.operators import small
+
+    rows = [(s, str(s)) for s in (0, 3600, 3601, 7201, 7202, 20000)]
+    monkeypatch.setattr(small, "BROADCAST_ROWS", 2)
+    placed = batches.with_replay_batch(make_posts(rows))
+    assert [r.batch_idx for r in placed.orderBy("ts").collect()] == [0, 0, 1, 1, 2, 3]
+
+
+def test_stray_times_make_no_slots_between(make_posts):
+    posts = make_posts([("0001-01-01 00:00:00", "a"), ("2024-01-01 00:00:00", "b")])
+    posts = posts.withColumn("day", F.lit("2024-01-01").cast("date"))
+    rows = batches.with_replay_batch(posts).orderBy("ts").collect()
+    assert [r.batch_idx for r in rows] == [0, 1]
+    assert batches._slots(posts, 3600).count() == 2

@@ -56,4 +56,6 @@ def with_clean_text(posts: DataFrame, strip_fragments: bool = True) -> DataFrame
 
 
 def is_number(word: Column) -> Column:
-    return word.rlike(rf"^(?:{P.NUMBER})\z")
+    """The two comparisons, true of words that start like a number, spare the rest the regex."""
+    starts = (word >= "-") & (word < ":")
+    return starts & word.rlike(rf"^(?:{P.NUMBER})\z")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
+from wordtide.operators.small import broadcast_if_small
 
 
 def with_fixed_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
@@ -18,15 +19,14 @@ def with_day(posts: DataFrame) -> DataFrame:
     return posts if "day" in posts.columns else posts.withColumn("day", F.to_date("ts"))
 
 
-def replay_anchors(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
-    """`day, batch_idx, anchor_sec, end_sec` of the batches of each day.
+def _chains(posts: DataFrame, seconds: int) -> DataFrame:
+    """`day, seconds, anchors`: the distinct seconds of each day and the anchors among them.
 
     The first post of a day opens batch 0; the first post more than `seconds` after the
     anchor opens the next one, so gaps make no empty batches. The chain is sequential
     within a day, so it runs over the day's distinct seconds: posts are reduced to those
     on all tasks first, and what meets in one group is at most 86,400 numbers per
-    calendar day that a day's file spans, however many posts there are. `end_sec` is the
-    next anchor, or one past the last post.
+    calendar day that a day's file spans, however many posts there are.
     """
     second = times.epoch_second(F.col("ts"))
     distinct = with_day(posts).select("day", second.alias("second")).distinct()
@@ -39,45 +39,43 @@ def replay_anchors(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFram
         return F.when(opens, F.concat(anchors, F.array(s))).otherwise(anchors)
 
     anchors = F.aggregate("seconds", F.slice("seconds", 1, 1), extend)
-    chains = per_day.select(
-        "day",
-        anchors.alias("anchors"),
-        (F.element_at("seconds", -1) + 1).alias("stop_sec"),
-    )
-    batches = chains.select("*", F.posexplode_outer("anchors").alias("batch_idx", "anchor_sec"))
-    return batches.select(
+    return per_day.withColumn("anchors", anchors)
+
+
+def _slot(second: Column, seconds: int) -> Column:
+    return F.floor(second / seconds).cast("bigint")
+
+
+def _slots(posts: DataFrame, seconds: int) -> DataFrame:
+    """`day, slot, late_idx, late_sec, early_sec` for each aligned slot that holds posts.
+
+    Anchors are more than `seconds` apart, so at most two batches meet in a slot of that
+    length: the one open before (`early_sec`), and the one opened inside (`late_sec`).
+    """
+    slots = F.array_distinct(F.transform("seconds", lambda s: _slot(s, seconds)))
+    placed = _chains(posts, seconds).select("day", "anchors", F.explode_outer(slots).alias("slot"))
+    opened = F.size(F.filter("anchors", lambda a: a < (F.col("slot") + 1) * seconds))
+    return placed.withColumn("late_idx", opened - 1).select(
         "day",
-        "batch_idx",
-        "anchor_sec",
-        F.coalesce(F.get("anchors", F.col("batch_idx") + 1), "stop_sec").alias("end_sec"),
+        "slot",
+        "late_idx",
+        F.get("anchors", F.col("late_idx")).alias("late_sec"),
+        F.get("anchors", F.col("late_idx") - 1).alias("early_sec"),
     )
 
 
 def with_replay_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
     """Add `day`, `batch_idx` and `anchor_sec` of the replay batch that holds the post.
 
-    Anchors are more than `seconds` apart, so an aligned slot of that length holds at
-    most one. A lookup of one row per slot, with the last batch seen in it, makes this an
-    equi join on (day, slot) that leaves the posts where they are. The lookup is
-    broadcast: it grows with the hours covered (24 rows a day), not with the posts.
+    An equi join with one row per day and slot, so posts stay where they are while that
+    lookup is small. It grows with the hours covered, not with the posts.
     """
-    def slot(second):
-        return F.floor(second / seconds).cast("bigint")
-
-    first, last = slot(F.col("anchor_sec")), slot(F.col("end_sec") - 1)
-    slots = replay_anchors(posts, seconds).withColumn("slot", F.explode(F.sequence(first, last)))
-    # At most two batches meet in a slot: the one open before, and the one opened inside.
-    lookup = slots.groupBy("day", "slot").agg(
-        F.max("batch_idx").alias("late_idx"),
-        F.max("anchor_sec").alias("late_sec"),
-        F.min("anchor_sec").alias("early_sec"),
-    )
     second = times.epoch_second(F.col("ts"))
     late = second >= F.col("late_sec")
     return (
         with_day(posts)
-        .withColumn("slot", slot(second))
-        .join(F.broadcast(lookup), ["day", "slot"])
+        .withColumn("slot", _slot(second, seconds))
+        .join(broadcast_if_small(_slots(posts, seconds)), ["day", "slot"])
         .withColumn("batch_idx", F.when(late, F.col("late_idx")).otherwise(F.col("late_idx") - 1))
         .withColumn("anchor_sec", F.when(late, F.col("late_sec")).otherwise(F.col("early_sec")))
         .select("day", *[c for c in posts.columns if c != "day"], "batch_idx", "anchor_sec")

@@ -126,6 +126,18 @@ def events_vs_past(
     return events.select(*stream, "batch_idx", "word", "n_now", "avg_past", "margin")
 
 
+def history_margins(
+    joined: DataFrame,
+    n_days: int,
+    eta: float,
+    alpha: float = P.CONFIDENCE,
+    textbook: bool = False,
+) -> DataFrame:
+    """`batch_idx, word, n_now, avg_past, margin` of bursts in rows of `current_vs_history`."""
+    events = with_margin(joined, eta, n_days, alpha, textbook)
+    return events.select("batch_idx", "word", "n_now", "avg_past", "margin")
+
+
 def events_vs_history(
     tokens: DataFrame,
     is_current: Column,
@@ -134,7 +146,6 @@ def events_vs_history(
     alpha: float = P.CONFIDENCE,
     textbook: bool = False,
 ) -> DataFrame:
-    """`batch_idx, word, n_now, avg_past, margin` of bursts against other days."""
+    """Bursts of the current day against the average of the others."""
     joined = current_vs_history(tokens, is_current, n_days)
-    events = with_margin(joined, eta, n_days, alpha, textbook)
-    return events.select("batch_idx", "word", "n_now", "avg_past", "margin")
+    return history_margins(joined, n_days, eta, alpha, textbook)

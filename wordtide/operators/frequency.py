@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
+from wordtide.operators.small import broadcast_if_small
 from wordtide.operators.words import basic_tokens
 from wordtide.sources.stopwords import StopWords, without_stopwords
 
@@ -34,11 +35,11 @@ def period_word_frequency(
 ) -> DataFrame:
     """`day, quarter, word, freq`: counts per post of the quarter, to four digits.
 
-    The totals have four rows per calendar day whatever the data, hence the broadcast;
-    a shuffle on (day, quarter) would send a whole quarter to one task.
+    The totals are four rows per calendar day. A shuffle on (day, quarter) would send
+    all words of a quarter to one task, so they are broadcast if there are few days.
     """
     counts = without_stopwords(period_word_counts(posts, min_count), stop)
-    totals = F.broadcast(period_totals(posts))
+    totals = broadcast_if_small(period_totals(posts))
     return counts.join(totals, ["day", "quarter"]).select(
         "day", "quarter", "word", F.round(F.col("count") / F.col("n_posts"), 4).alias("freq")
     )

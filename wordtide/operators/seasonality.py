@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P
 from wordtide.operators.frequency import with_period
+from wordtide.operators.small import broadcast_if_small
 from wordtide.operators.words import basic_tokens
 from wordtide.sources.stopwords import StopWords, without_stopwords
 
@@ -49,7 +50,7 @@ def word_history(
 
     A word must exceed `min_count` in all four quarters. One pass: the quarters are
     conditional counts of one aggregation on (day, word), so no word join is needed.
-    The totals have one row per calendar day, hence the broadcast.
+    The totals have one row per day: broadcast for listed days, and if few otherwise.
     """
     posts = with_period(_of_days(posts, days))
     counts = basic_tokens(posts).groupBy("day", "word").agg(*_per_quarter("n"))
@@ -57,7 +58,8 @@ def word_history(
     for period in PERIODS:
         counts = counts.where(F.col(f"n_{period}") > min_count)
     totals = posts.groupBy("day").agg(*_per_quarter("total"))
-    frequencies = counts.join(F.broadcast(totals), "day").select(
+    totals = broadcast_if_small(totals) if days is None else F.broadcast(totals)
+    frequencies = counts.join(totals, "day").select(
         "day",
         "word",
         *[F.round(F.col(f"n_{p}") / F.col(f"total_{p}"), 4).alias(f"f_{p}") for p in PERIODS],

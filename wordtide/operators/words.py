@@ -24,7 +24,11 @@ def basic_tokens(posts: DataFrame) -> DataFrame:
 def normalized_tokens(
     posts: DataFrame, stop: StopWords | None = None, strip_fragments: bool = True
 ) -> DataFrame:
-    """Words for event detection: no links, fragments, empty words, numbers or stop words."""
+    """Words for event detection: no links, fragments, empty words, numbers or stop words.
+
+    To count them without a stop list given as a DataFrame, drop those words from the
+    counts instead: a join of raw words meets the commonest word in one place.
+    """
     clean = T.with_clean_text(posts, strip_fragments)
     words = F.explode(T.event_words(F.col("text"))).alias("word")
     tokens = clean.select(*_others(posts), words).where("word <> ''")

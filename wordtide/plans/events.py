@@ -8,7 +8,7 @@ from wordtide.operators import bursts
 from wordtide.operators.batches import with_day, with_fixed_batch, with_replay_batch
 from wordtide.operators.words import live_tokens, normalized_tokens
 from wordtide.sources.posts import history_json, posts_json
-from wordtide.sources.stopwords import StopWords
+from wordtide.sources.stopwords import StopWords, without_stopwords
 from wordtide.streaming.bursts import stream_events, with_event_time
 
 KEPT = ["day", "batch_idx", "text"]
@@ -16,8 +16,8 @@ KEPT = ["day", "batch_idx", "text"]
 
 def file_events(posts: DataFrame, stop: StopWords, n: int = 2, eta: float = 3) -> DataFrame:
     """Bursts against the n-1 replay batches before, day by day."""
-    tokens = normalized_tokens(with_replay_batch(posts).select(*KEPT), stop)
-    counts = bursts.batch_word_counts(tokens, ["day"])
+    tokens = normalized_tokens(with_replay_batch(posts).select(*KEPT))
+    counts = without_stopwords(bursts.batch_word_counts(tokens, ["day"]), stop)
     return bursts.events_vs_past(counts, n, eta, ["day"])
 
 
@@ -68,8 +68,9 @@ def history_events(
         aligned_batches(posts, align).withColumn("is_current", F.lit(flag))
         for posts, flag in ((current, True), (history, False))
     ]
-    tokens = normalized_tokens(sides[0].unionByName(sides[1]), stop)
-    return bursts.events_vs_history(tokens, F.col("is_current"), n_days, eta)
+    tokens = normalized_tokens(sides[0].unionByName(sides[1]))
+    joined = bursts.current_vs_history(tokens, F.col("is_current"), n_days)
+    return bursts.history_margins(without_stopwords(joined, stop), n_days, eta)
 
 
 def file_events_json(
