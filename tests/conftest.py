@@ -10,7 +10,7 @@ from tests.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4)
+    session = local_session(4, partitions=3)
     yield session
     session.stop()
 

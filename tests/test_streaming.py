@@ -108,3 +108,38 @@ def test_windows_need_a_past(spark, arrivals):
     arrivals(ROWS[:1])
     with pytest.raises(ValueError):
         events(spark, arrivals.folder, 2, n=1)
+
+
+def test_live_stream_equals_live_events(spark, make_posts, tmp_path):
+    from wordtide.plans.events import live_events, live_stream_events
+
+    rows = [(10, "calm"), (130, "Boom! " * 40 + "calm"), (250, "Boom!"), (2000, "late " * 50), (2500, "end")]
+    folder = str(tmp_path / "posts")
+    make_posts(rows).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    arriving = spark.readStream.schema(stored.schema).parquet(folder)
+    out = str(tmp_path / "out")
+    run(streams.write_events(live_stream_events(arriving), out, str(tmp_path / "checkpoint")))
+    expected = live_events(stored).where("batch_idx < (1704067200 + 2500) div 120")
+    columns = ["word", "n_now", "avg_past", "margin", "batch_idx"]
+    assert read(spark, out) == sorted(tuple(r) for r in expected.select(*columns).collect())
+    assert [r[0] for r in read(spark, out)] == ["Boom!", "late"]
+
+
+def test_print_events(spark, arrivals, tmp_path):
+    arrivals(ROWS)
+    query = streams.print_events(events(spark, arrivals.folder, -1), str(tmp_path / "checkpoint"))
+    run(query)
+    assert query.exception() is None
+
+
+def test_scratch_folder_is_below_the_shared_one(spark):
+    from wordtide.scratch import scratch_folder
+
+    local = scratch_folder(spark, "label")
+    spark.conf.set("spark.checkpoint.dir", "hdfs://cluster/shared/")
+    try:
+        assert scratch_folder(spark, "label").startswith("hdfs://cluster/shared/label-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert "label" in local
