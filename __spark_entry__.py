@@ -102,7 +102,7 @@ def period_totals(spark, sf_dir):
 
 
 def word_frequency(spark, sf_dir):
-    return frequency.period_word_frequency(_texts(spark, sf_dir), stopwords_frame(spark))
+    return frequency.period_word_frequency(_texts(spark, sf_dir), stopwords_frame(spark), days=DAYS)
 
 
 def top_words(spark, sf_dir):

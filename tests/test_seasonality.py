@@ -86,7 +86,7 @@ def test_plan_has_no_word_join_and_two_word_shuffles(spark, sf_dir):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
     assert plan.count("split(") == 1
     assert plan.count("BroadcastHashJoin") == 1
-    # (day, word), word, and the totals by day.
+    # (day, quarter, word), word, and the totals by (day, quarter).
     assert plan.count("Exchange hashpartitioning") == 3
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
@@ -10,6 +12,19 @@ from wordtide.operators.words import basic_tokens
 from wordtide.sources.stopwords import StopWords, without_stopwords
 
 
+def of_days(posts: DataFrame, days: Sequence[str] | None) -> DataFrame:
+    """Posts of the listed days, by a range on the raw time that a source can push down."""
+    if days is None:
+        return posts
+    first, last = min(days), max(days)
+    ts = F.col("ts")
+    return posts.where(
+        (ts >= F.expr(f"timestamp_ntz'{first}'"))
+        & (ts < F.expr(f"timestamp_ntz'{last}' + INTERVAL 1 DAY"))
+        & F.to_date(ts).isin([F.lit(d).cast("date") for d in days])
+    )
+
+
 def with_period(posts: DataFrame) -> DataFrame:
     """Add `day` and `quarter`, dropping posts at the seconds that no quarter contains."""
     ts = F.col("ts")
@@ -31,15 +46,21 @@ def period_totals(posts: DataFrame) -> DataFrame:
 
 
 def period_word_frequency(
-    posts: DataFrame, stop: StopWords | None, min_count: int = P.MIN_COUNT
+    posts: DataFrame,
+    stop: StopWords | None,
+    min_count: int = P.MIN_COUNT,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
     """`day, quarter, word, freq`: counts per post of the quarter, to four digits.
 
-    The totals are four rows per calendar day. A shuffle on (day, quarter) would send
-    all words of a quarter to one task, so they are broadcast if there are few days.
+    Only the listed days if given. The totals are four rows per day. A shuffle on (day,
+    quarter) would send all words of a quarter to one task, so they are broadcast: for
+    listed days as that bounds them, otherwise if they turn out few.
     """
+    posts = of_days(posts, days)
     counts = without_stopwords(period_word_counts(posts, min_count), stop)
-    totals = broadcast_if_small(period_totals(posts))
+    totals = period_totals(posts)
+    totals = broadcast_if_small(totals) if days is None else F.broadcast(totals)
     return counts.join(totals, ["day", "quarter"]).select(
         "day", "quarter", "word", F.round(F.col("count") / F.col("n_posts"), 4).alias("freq")
     )

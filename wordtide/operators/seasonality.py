@@ -9,10 +9,8 @@ from operator import or_
 from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P
-from wordtide.operators.frequency import with_period
-from wordtide.operators.small import broadcast_if_small
-from wordtide.operators.words import basic_tokens
-from wordtide.sources.stopwords import StopWords, without_stopwords
+from wordtide.operators.frequency import period_word_frequency
+from wordtide.sources.stopwords import StopWords
 
 # In output order.
 PERIODS = {
@@ -23,23 +21,6 @@ PERIODS = {
 }
 
 
-def _of_days(posts: DataFrame, days: Sequence[str] | None) -> DataFrame:
-    """Posts of the listed days, by a range on the raw time that a source can push down."""
-    if days is None:
-        return posts
-    first, last = min(days), max(days)
-    ts = F.col("ts")
-    return posts.where(
-        (ts >= F.expr(f"timestamp_ntz'{first}'"))
-        & (ts < F.expr(f"timestamp_ntz'{last}' + INTERVAL 1 DAY"))
-        & F.to_date(ts).isin([F.lit(d).cast("date") for d in days])
-    )
-
-
-def _per_quarter(prefix: str) -> list:
-    return [F.count_if(F.col("quarter") == q).alias(f"{prefix}_{p}") for p, q in PERIODS.items()]
-
-
 def word_history(
     posts: DataFrame,
     stop: StopWords | None,
@@ -48,21 +29,22 @@ def word_history(
 ) -> DataFrame:
     """Frequencies of a word in the quarters of a day, and their mean; one row per day.
 
-    A word must exceed `min_count` in all four quarters. One pass: the quarters are
-    conditional counts of one aggregation on (day, word), so no word join is needed.
-    The totals have one row per day: broadcast for listed days, and if few otherwise.
+    A word must exceed `min_count` in all four quarters. The quarters come from one scan
+    and are turned into columns, so no word join is needed. What is left after the
+    minimum count is partitioned by word once: that serves the grouping by day and word
+    here and the one by word over the days.
     """
-    posts = with_period(_of_days(posts, days))
-    counts = basic_tokens(posts).groupBy("day", "word").agg(*_per_quarter("n"))
-    counts = without_stopwords(counts, stop)
-    for period in PERIODS:
-        counts = counts.where(F.col(f"n_{period}") > min_count)
-    totals = posts.groupBy("day").agg(*_per_quarter("total"))
-    totals = broadcast_if_small(totals) if days is None else F.broadcast(totals)
-    frequencies = counts.join(totals, "day").select(
-        "day",
-        "word",
-        *[F.round(F.col(f"n_{p}") / F.col(f"total_{p}"), 4).alias(f"f_{p}") for p in PERIODS],
+    frequency = period_word_frequency(posts, stop, min_count, days).repartition("word")
+
+    def of(period: str):
+        quarter = F.col("quarter") == PERIODS[period]
+        return F.max(F.when(quarter, F.col("freq"))).alias(f"f_{period}")
+
+    frequencies = (
+        frequency.groupBy("day", "word")
+        .agg(F.count("*").alias("n_quarters"), *map(of, PERIODS))
+        .where(F.col("n_quarters") == len(PERIODS))
+        .drop("n_quarters")
     )
     # The order of the sum decides ties of later roundings.
     mean = (F.col("f_night") + F.col("f_morning") + F.col("f_afternoon") + F.col("f_evening")) / 4
