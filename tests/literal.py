@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P
 
+# The bounds of the quarters and their names, in time and in output order.
 BOUNDS = ["00:00:00", "06:00:00", "12:00:00", "18:00:00", "23:59:59"]
 NAMES = ["night", "morning", "afternoon", "evening"]
 OUTPUT = ["morning", "afternoon", "evening", "night"]

@@ -88,3 +88,10 @@ def test_stray_times_make_no_slots_between(make_posts):
     rows = batches.with_replay_batch(posts).orderBy("ts").collect()
     assert [r.batch_idx for r in rows] == [0, 1]
     assert batches._slots(posts, 3600).count() == 2
+
+
+def test_posts_without_a_time_have_no_batch(make_posts):
+    posts = make_posts([(5, "kept")])
+    posts = posts.unionByName(posts.withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    assert batches.with_fixed_batch(posts).count() == 1
+    assert batches.with_replay_batch(posts).count() == 1

@@ -40,6 +40,21 @@ def test_history_json_reads_the_file_named_like_its_folder(spark, history_root):
     assert [(r.post_id, str(r.day)) for r in rows] == [(1, "2020-02-01"), (2, "2020-02-02"), (3, "2020-02-02")]
 
 
+def test_history_days(spark, history_root):
+    from wordtide.operators.bursts import history_days
+
+    rows = history_days(sources.history_json(spark, history_root)).collect()
+    assert sorted((str(r.day), r.n_posts) for r in rows) == [("2020-02-01", 1), ("2020-02-02", 2)]
+
+
+def test_time_range_reaches_the_scan(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    plan = entry.time_range_filter(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
+
+
 def test_stopwords(spark, history_root):
     assert sorted(r.word for r in stopwords(spark, f"{history_root}/stop_words.txt").collect()) == ["deux", "un"]
 

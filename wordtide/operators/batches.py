@@ -9,9 +9,12 @@ from wordtide.operators.small import broadcast_if_small
 
 
 def with_fixed_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
-    """Add `batch_idx`, the number of the clock-aligned interval since 1970."""
+    """Add `batch_idx`, the number of the clock-aligned interval since 1970.
+
+    Posts without a time belong to no batch and are dropped.
+    """
     index = F.floor(times.epoch_second(F.col("ts")) / seconds).cast("bigint")
-    return posts.withColumn("batch_idx", index)
+    return posts.where("ts IS NOT NULL").withColumn("batch_idx", index)
 
 
 def with_day(posts: DataFrame) -> DataFrame:

@@ -56,8 +56,8 @@ def current_vs_past(
 
 
 def history_days(posts: DataFrame) -> DataFrame:
-    """`day, n_posts` of a history."""
-    return posts.groupBy("day").agg(F.count("*").alias("n_posts"))
+    """`day, n_posts` of a history; posts whose time did not parse do not count."""
+    return posts.groupBy("day").agg(F.count("ts").alias("n_posts"))
 
 
 def history_baseline(tokens: DataFrame, n_days: Column | int) -> DataFrame:
