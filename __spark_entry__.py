@@ -25,6 +25,14 @@ from wordtide.sources import posts as sources  # noqa: E402
 from wordtide.sources.stopwords import COMMON, stopwords_frame  # noqa: E402
 from wordtide.streaming import bursts as streams  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from wordtide.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "wordtide.llm"):
+        raise
+    llm_queries = None
+
 DAYS = sources.WEEK_DAYS
 LAST_DAY = DAYS[-1]
 WEEK = (f"{DAYS[0]} 00:00:00", "2024-01-08 00:00:00")
@@ -298,6 +306,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return seasonal_words_min1(spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm_queries.oracle_sql() | own
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "posts": posts,
@@ -346,8 +367,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lda_quality": lda_quality,
         "stream_event_words": _stream_events(-2),
         "stream_events_poisson": _stream_events(2),
+        **_llm_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    return oracle_queries.oracle_sql() | _llm_sql()
