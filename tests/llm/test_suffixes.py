@@ -1,0 +1,41 @@
+import random
+
+import pyarrow as pa
+import pytest
+
+from tests.llm import brute, cases
+from tests.llm.test_substrings import rows_of
+from wordtide.llm import suffixes
+
+
+def test_passages_against_brute_force(spark):
+    rows = cases.passages()
+    found = suffixes.suffix_dedup(cases.frame(spark, rows))
+    assert found.where("found = 'own' AND row = 7").count() == len(rows)
+    assert rows_of(found) == sorted(brute.removed_words(rows), key=repr)
+
+
+@pytest.mark.parametrize("seed,gram,window", [(1, 2, 3), (2, 3, 6), (3, 1, 8)])
+def test_random_texts_over_small_vocabularies(spark, seed, gram, window):
+    pick = random.Random(seed)
+    rows = [(i, " ".join(pick.choice("ab") for _ in range(pick.randrange(60)))) for i in range(40)]
+    found = suffixes.suffix_dedup(cases.frame(spark, rows), 8, gram, window)
+    assert rows_of(found) == sorted(brute.removed_words(rows, 8), key=repr)
+
+
+def test_empty_table(spark):
+    assert suffixes.suffix_dedup(cases.frame(spark, [])).count() == 0
+
+
+def test_runs_across_batches_and_edges():
+    def batch(*hashes):
+        n = len(hashes)
+        return pa.record_batch([pa.array(hashes, pa.int64()), pa.array(range(n), pa.int64())], ["hash", "at"])
+
+    out = list(suffixes._compare(iter([batch(1, 2), batch(2), batch(2, 3), batch(4)])))
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert [(h, s, e) for h, _, s, e in rows] == [
+        (1, False, True), (2, True, False), (2, True, False), (2, True, False), (4, False, True),
+    ]
+    (single,) = suffixes._compare(iter([batch(7)]))
+    assert single.to_pylist() == [{"hash": 7, "at": 0, "same": False, "edge": True}]

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import substrings
+from wordtide.llm import substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_suffix_array_dedup(spark, sf_dir):
+    cut = suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_substring_dedup(spark, sf_dir):
     cut = substrings.substring_dedup(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -20,6 +25,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
 

@@ -56,6 +56,67 @@ def flat_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), lengths), column.flatten().to_numpy(zero_copy_only=False)
 
 
+def least_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Index of the least of `hashes[i:i + width]` for each i, the leftmost of equals."""
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    best, reach = np.arange(len(hashes)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        near, far = best[: len(best) - step], best[step:]
+        best = np.where(hashes[far] < hashes[near], far, near)
+        reach += step
+    return best[:n]
+
+
+def ranges(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of each run of equal neighbours."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return begin, np.diff(np.concatenate([begin, [len(values)]]))
+
+
+def anchored(docs: DataFrame, length: int, first: int, width: int, depth: int) -> DataFrame:
+    """`hash, doc_id, at, n`: representatives of the windows of `length` words.
+
+    The window at s is represented by the least hash of `first` words that starts within
+    s to s + `width` - 1; `hash` is that of the `depth` words there, `at` has the first of
+    the `n` neighbouring windows that it represents.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.portions(batches):
+            words = W.split(batch.column("text"), W.SPACED)
+            text, start = W.run_starts(words, length)
+            if not len(text):
+                continue
+            hashes = W.run_hashes(words.hashes, first)
+            least = least_of(hashes, width)[start]
+            keys = hashes if depth == first else W.run_hashes(words.hashes, depth)
+            begin, n = ranges(least)
+            yield pa.RecordBatch.from_arrays(
+                [W.signed(keys[least[begin]]), batch.column("doc_id").take(pa.array(text[begin])),
+                 packed(batch.column("tid"), text[begin], start[begin] - words.offsets[text[begin]]),
+                 pa.array(n.astype(np.int32))],
+                ["hash", "doc_id", "at", "n"],
+            )
+
+    return identified(docs).mapInArrow(scan, f"{WINDOWS}, n INT")
+
+
+def expanded(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that `start << 8 | n` stands for."""
+    n = value & 255
+    within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(text, n), np.repeat(value >> 8, n) + within
+
+
+def represented(rows: DataFrame) -> DataFrame:
+    return by_document(rows, F.shiftleft(position(), 8).bitwiseOR(F.col("n").cast("bigint")))
+
+
 Starts = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
