@@ -6,7 +6,7 @@ SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT
 
 
 def words(seed, n, vocabulary=3000):
-    pick = random.Random(seed)
+    pick = random.Random(repr(seed))
     return [f"w{pick.randrange(vocabulary)}" for _ in range(n)]
 
 

@@ -1,0 +1,123 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm import brute, cases
+from wordtide.llm import darts, neardup
+from wordtide.llm.components import components
+
+
+def shingled(text):
+    words = brute.plain(text)
+    if not words:
+        return Counter()
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def similarity(a, b):
+    a, b = shingled(a), shingled(b)
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+def brute_classes(rows):
+    """Class of each id by all pairs."""
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [(i, shingled(t)) for i, t in rows]
+    for x, (i, a) in enumerate(sets):
+        for j, b in sets[:x]:
+            inside = sum((a & b).values())
+            if a and b and inside >= 0.8 * sum((a | b).values()):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return {i: find(i) for i, _ in rows}
+
+
+def edited(words, share, pick):
+    return [w if pick.random() > share else f"e{pick.randrange(10**6)}" for w in words]
+
+
+def near_rows(seed, groups=6, copies=12):
+    pick, rows = random.Random(seed), []
+    for g in range(groups):
+        base = cases.words((seed, g), 60 + 40 * g)
+        for c in range(copies):
+            rows.append(" ".join(edited(base, 0.002 * c, pick)))
+    rows += [" ".join(cases.words((seed, "x", i), 80)) for i in range(30)]
+    pick.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_classes_against_all_pairs(spark, seed):
+    rows = near_rows(seed)
+    found = neardup.near_duplicates(cases.frame(spark, rows))
+    assert {r.doc_id: r.class_id for r in found.collect()} == brute_classes(rows)
+
+
+def test_awkward_rows(spark):
+    texts = ["A b, c d e f!", "a B c; d e f", "a b", "a  b", "a c", None, "", "...", "x " * 5_000, "x " * 4_999]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "a  b"), (None, "a b"), (None, None), (None, "own words")]
+    docs = cases.frame(spark, rows)
+    found = [tuple(r) for r in neardup.near_duplicates(docs).collect()]
+    assert len(found) == len(rows)
+    by_id = {i: (c, k) for i, c, k in found if i is not None}
+    assert by_id == {
+        0: (0, True), 1: (0, False), 2: (2, True), 3: (2, False), 4: (4, True), 5: (5, True), 6: (6, True),
+        7: (7, True), 8: (8, True), 9: (8, False),
+    }
+    nulls = [(c, k) for i, c, k in found if i is None]
+    assert sum(not k and c == 2 for c, k in nulls) == 1 and sum(k and c > 1 << 62 for c, k in nulls) == 2
+    kept = neardup.one_of_each(docs)
+    assert kept.schema.names == docs.schema.names
+    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert ids == sorted([0, 2, 4, 5, 6, 7, 8, None, None], key=repr)
+
+
+def test_one_row_stays_of_repeated_rows(spark):
+    docs = cases.frame(spark, [(1, "some words"), (1, "some words"), (2, None), (2, None)])
+    assert sorted(r.doc_id for r in neardup.one_of_each(docs).collect()) == [1, 2]
+
+
+def test_empty_table(spark):
+    docs = cases.frame(spark, [])
+    assert neardup.near_duplicates(docs).count() == 0
+    assert neardup.one_of_each(docs).count() == 0
+
+
+def test_signatures_estimate_weighted_similarity():
+    pick = np.random.default_rng(5)
+    elements = pick.integers(1, 1 << 63, 400, dtype=np.uint64)
+    for spread in (0.1, 0.5, 2.0):
+        a = pick.uniform(0.2, 3, 400)
+        b = a * np.exp(pick.normal(0, spread, 400))
+        k = 4_000
+        both = darts.signatures(np.repeat([0, 1], 400), np.tile(elements, 2), np.concatenate([a, b]), 2, k)
+        expected = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+        assert abs((both[0] == both[1]).mean() - expected) < 4 * (expected * (1 - expected) / k) ** 0.5
+
+
+def test_signatures_fill_all_coordinates():
+    values = darts.signatures(np.array([0, 2]), np.array([7, 7], np.uint64), np.array([1.0, 30.0]), 3, 150)
+    assert (values[[0, 2]] != 0).all() and not values[1].any()
+
+
+def test_components(spark):
+    pick = random.Random(3)
+    chain = [(i, i + 1) for i in range(0, 60)]
+    star = [(100, i) for i in range(200, 260)]
+    edges = chain + star + [(pick.randrange(400, 500), pick.randrange(400, 500)) for _ in range(60)]
+    edges = [e for e in edges if e[0] != e[1]]
+    found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}
+    expected = {n: n for e in edges for n in e}
+    for _ in expected:
+        for a, b in edges:
+            expected[a] = expected[b] = min(expected[a], expected[b])
+    assert found == expected

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import substrings, suffixes
+from wordtide.llm import neardup, substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark, sf_dir):
     cut = suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -25,6 +29,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
