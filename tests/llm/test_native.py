@@ -1,0 +1,212 @@
+"""Quality rules, decontamination and mixing against plain Python."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute, cases
+from wordtide.llm import decontaminate, mixing, rules
+
+
+def measures(text):
+    text = text or ""
+    words = brute.spaced(text)
+    runs = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(runs)
+    repeated = {i + j for i, r in enumerate(runs) if often[r] > 1 for j in range(8)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if brute.spaced(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), dup, len(repeated))
+
+
+def rule_rows():
+    rows = cases.passages()
+    rows += [
+        (30, "a b c d e f g h " * 3), (31, "x\nx\n \n \nx y\nx y"), (32, "# * $ % & | < > ok"),
+        (33, "𝒳𝒴 é\n𝒳𝒴 é"), (34, " ".join(cases.words(20, 19))), (35, " ".join(cases.words(21, 20))),
+        (36, "a\r\na\r\nb\x0bc"),
+    ]
+    return rows
+
+
+def test_measures(spark):
+    docs = cases.frame(spark, rule_rows())
+    found = rules.quality_rules(docs, spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT"))
+    got = sorted(
+        [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in found.collect()],
+        key=repr,
+    )
+    assert got == sorted([(i, *measures(t)) for i, t in rule_rows()], key=repr)
+    for r in found.collect():
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.kept == (not r.base_failed)
+
+
+def tail(k, n, p):
+    return math.log(sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
+
+
+def test_binomial_tail(spark):
+    cases_ = [(0, 10), (3, 10), (7, 900), (1, 1), (40, 900), (0, 1)]
+    frame = spark.createDataFrame(cases_, "k BIGINT, n BIGINT")
+    for r in frame.withColumn("p", rules.log_tail(F.col("k"), F.col("n"), 0.01)).collect():
+        assert r.p == pytest.approx(tail(r.k, r.n, 0.01), abs=1e-9)
+    big = spark.createDataFrame([(900, 100_000)], "k BIGINT, n BIGINT")
+    assert -9 < big.select(rules.log_tail(F.col("k"), F.col("n"), 0.01)).first()[0] < -6
+
+
+def test_cutoffs_hold_the_risk_and_reject_junk(spark):
+    pick = random.Random(4)
+    rows, labels, langs = [], [], []
+    for i in range(3_000):
+        good, lang = i % 6 > 0, "en" if i % 2 else None
+        text = " ".join(cases.words((9, i), 60))
+        if not good:
+            text = text.replace(" ", "%% ")
+        elif pick.random() < 0.001:
+            text = text.upper()
+        rows.append((i, text))
+        langs.append((i, lang))
+        labels.append((i, int(good), 0))
+    rows += [(9_000, "## ".join(cases.words(99, 50)))]
+    langs += [(9_000, "xx")]
+    docs = cases.frame(spark, rows).drop("lang").join(spark.createDataFrame(langs, "doc_id BIGINT, lang STRING"), "doc_id")
+    marks = spark.createDataFrame(labels + labels[:5], "doc_id BIGINT, quality INT, toxic INT")
+    found = {r.doc_id: r for r in rules.quality_rules(docs, marks).collect()}
+    good = [i for i, q, _ in labels if q]
+    assert sum(not found[i].kept for i in good) <= 0.05 * len(good)
+    assert not any(found[i].kept for i, q, _ in labels if not q)
+    assert "symbol_share" in found[0].rejected_by
+    assert found[9_000].kept, "a stratum without labels has the base rules alone"
+    kept = rules.kept_documents(docs, marks)
+    assert kept.schema.names == docs.schema.names
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in found.items() if r.kept}
+
+
+def contaminated(docs, items):
+    windows = defaultdict(set)
+    for item, text in items:
+        words = brute.plain(text)
+        for i in range(max(1, len(words) - 9) if words else 0):
+            windows[tuple(words[i : i + 10])].add(str(item))
+    rows = []
+    for doc, text in docs:
+        words, hit, ids = brute.plain(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for i in range(len(words) - n + 1):
+                if (key := tuple(words[i : i + n])) in windows:
+                    hit |= set(range(i, i + n))
+                    ids |= windows[key]
+        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        rows.append((doc, len(words), len(hit), len(ids), digest, bool(hit)))
+    return sorted(rows, key=repr)
+
+
+def benchmark_rows():
+    shared = cases.words(1, 120)
+    items = [
+        (1, " ".join(shared[10:40])), (2, "W1 w2, W3"), (3, None), (4, "..."), (5, " ".join(shared[30:45]).upper()),
+        (10, " ".join(shared[10:20])), (2, "W1 w2, W3"), (11, "same " * 12), (12, "Á ç ñ x y"), (7, "zz zz zz"),
+    ]
+    docs = cases.passages() + [
+        (40, "w1 w2 w3"), (41, "w1 w2"), (42, "W3 w1-w2-w3 w1 w2 w3"), (43, "zz zz zz zz zz"), (44, "á ç ñ x y"),
+        (45, "Á ç ñ x y."),
+    ]
+    return docs, items
+
+
+@pytest.mark.parametrize("block", [16 << 20, 700])
+def test_decontamination_against_brute_force(spark, block, monkeypatch):
+    docs, items = benchmark_rows()
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    monkeypatch.setattr(decontaminate.occurrences, "__defaults__", (10, block))
+    found = decontaminate.decontaminated(cases.frame(spark, docs), bench)
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found.collect()]
+    assert sorted(got, key=repr) == contaminated(docs, items)
+
+
+def test_clean_documents_stay(spark):
+    docs, items = benchmark_rows()
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    frame = cases.frame(spark, docs)
+    kept = decontaminate.clean_documents(frame, bench)
+    assert kept.schema.names == frame.schema.names
+    expected = sorted([d for d, *_, c in contaminated(docs, items) if not c], key=repr)
+    assert sorted([r.doc_id for r in kept.collect()], key=repr) == expected
+    none = spark.createDataFrame([], "item_id BIGINT, text STRING")
+    assert decontaminate.clean_documents(frame, none).count() == len(docs)
+    assert decontaminate.decontaminated(cases.frame(spark, []), bench).count() == 0
+
+
+def shared_targets(sizes, most=3.0):
+    """By the rule as it is told: share, stop at the limit, share the excess again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, target, free = sum(sizes.values()), {}, set(sizes)
+    while free:
+        left = total - sum(target.values())
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > most * sizes[s]}
+        if not over:
+            return target | {s: level * weight[s] for s in free}
+        target |= {s: most * sizes[s] for s in over}
+        free -= over
+    return target
+
+
+def mixed_frame(spark, seed):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(900):
+        source = pick.choice(["a", "b", "B", "é", None, "z", "big", "big", "big", "big"])
+        rows.append((i, " ".join(["w"] * pick.randrange(0, 60)), source, 1))
+    rows += [(1_000, None, "a", 1), (1_001, "  x ", "tiny", 1), (1_002, "", "none", 1), (1_002, "", "none", 1)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING, size INT"), rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mixing(spark, seed):
+    docs, rows = mixed_frame(spark, seed)
+    sizes = Counter()
+    for _, text, source, _ in rows:
+        sizes[source] += len(brute.spaced(text))
+    expected = shared_targets(sizes)
+    mixed = mixing.curriculum(docs).collect()
+    assert Counter((r.doc_id, r.source, r["size"]) for r in mixed) == Counter(
+        (i, s, len(brute.spaced(t))) for i, t, s, _ in rows
+    )
+    taken = Counter()
+    for r in mixed:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(expected[r.source], rel=1e-9)
+        assert r.taken <= 3 * r["size"] and r.taken == r.copies * r["size"] and len(r.positions) == r.copies
+        assert all(0 <= p <= 1 for p in r.positions) and sorted(r.positions) == r.positions
+        taken[r.source] += r.taken
+    for source, target in expected.items():
+        assert abs(taken[source] - target) <= 60
+    assert sorted(mixed) == sorted(mixing.curriculum(docs.repartition(7)).collect())
+
+
+def test_schedule_is_followed(spark):
+    docs, _ = mixed_frame(spark, 3)
+    mixed = mixing.curriculum(docs).cache()
+    order = mixing.training_order(mixed).collect()
+    assert [r.position for r in order] == sorted(r.position for r in order)
+    for source, tilt in (("B", 0.5), ("a", 0.0), ("b", -0.5)):
+        target = mixed.where(F.col("source") == source).first().target
+        half = sum(r["size"] for r in order if r.source == source and r.position < 0.5)
+        assert half / target == pytest.approx((1 + tilt) / 2 - tilt / 4, abs=0.1)
+
+
+def test_mixing_of_nothing(spark):
+    docs, _ = mixed_frame(spark, 4)
+    assert mixing.curriculum(docs.limit(0)).count() == 0
+    empty = mixing.mixed_sources(docs.withColumn("text", F.lit(None).cast("string"))).collect()
+    assert all(r.taken == 0 and r.target == 0 for r in empty)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import neardup, substrings, suffixes
+from wordtide.llm import decontaminate, mixing, neardup, rules, substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark, sf_dir):
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminated(documents, benchmark).drop("items")
+
+
+def op6_quality_rules(spark, sf_dir):
+    return rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_source_mixing(spark, sf_dir):
+    return mixing.mixed_sources(_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark, sf_dir):
     cut = suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -30,6 +43,9 @@ def op10_substring_dedup(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op3_benchmark_decontamination": op3_benchmark_decontamination,
+        "op6_quality_rules": op6_quality_rules,
+        "op7_source_mixing": op7_source_mixing,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
