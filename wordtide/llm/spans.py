@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.llm import words as W
-from wordtide.llm.tables import text_id
+from wordtide.llm.tables import text_id, written
 
 LOW = 0xFFFFFFFF
 WINDOWS = "hash BIGINT, doc_id BIGINT, at BIGINT"
@@ -142,23 +142,24 @@ def windows_at(frame: DataFrame, length: int, starts: Starts) -> DataFrame:
     return frame.select("doc_id", "tid", "text", "found").mapInArrow(hashed, WINDOWS)
 
 
-def in_several(rows: DataFrame) -> DataFrame:
-    """Rows whose hash occurs in two documents or more.
+def _met(rows: DataFrame) -> DataFrame:
+    """`hash, low`: hashes of two documents or more, with the smallest id.
 
-    Each task reduces a hash to one row first; the join's skewed partitions can be split.
+    Each task reduces a hash to one row first. Written, so that the joins that follow are
+    between two plain shuffles, of which Spark can split skewed partitions.
     """
     ends = rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return rows.join(ends.where("low < high").select("hash"), "hash", "left_semi")
+    return written(ends.where("low < high").select("hash", "low"), "met")
+
+
+def in_several(rows: DataFrame) -> DataFrame:
+    """Rows whose hash occurs in two documents or more."""
+    return rows.join(_met(rows).select("hash"), "hash", "left_semi")
 
 
 def seen_before(rows: DataFrame) -> DataFrame:
     """`doc_id, at` of windows whose hash also occurs in a document with a smaller id."""
-    first = rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return (
-        rows.join(first.where("low < high").select("hash", "low"), "hash")
-        .where("low < doc_id")
-        .select("doc_id", "at")
-    )
+    return rows.join(_met(rows), "hash").where("low < doc_id").select("doc_id", "at")
 
 
 def covered(n_words: int, starts: np.ndarray, length: int) -> np.ndarray:
