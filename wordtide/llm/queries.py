@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import decontaminate, mixing, neardup, rules, substrings, suffixes
+from wordtide.llm import bpe, decontaminate, mixing, neardup, rules, substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark, sf_dir):
+    counted = bpe.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op3_benchmark_decontamination(spark, sf_dir):
     documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminated(documents, benchmark).drop("items")
@@ -43,6 +49,7 @@ def op10_substring_dedup(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
+        "op2_token_counts": op2_token_counts,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op6_quality_rules": op6_quality_rules,
         "op7_source_mixing": op7_source_mixing,
