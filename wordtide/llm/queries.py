@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import bpe, decontaminate, mixing, neardup, rules, substrings, suffixes
+from wordtide.llm import bpe, decontaminate, mixing, neardup, rules, substrings, suffixes, warc
+from wordtide.scratch import scratch_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return decontaminate.decontaminated(documents, benchmark).drop("items")
 
 
+def op4_warc_round_trip(spark, sf_dir):
+    folder = f"{scratch_folder(spark, 'warc')}/archives"
+    return warc.round_trip(_table(spark, sf_dir, "pages"), folder)
+
+
 def op6_quality_rules(spark, sf_dir):
     return rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -51,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_token_counts": op2_token_counts,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
+        "op4_warc_round_trip": op4_warc_round_trip,
         "op6_quality_rules": op6_quality_rules,
         "op7_source_mixing": op7_source_mixing,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
