@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordtide.llm import bpe, decontaminate, mixing, neardup, rules, substrings, suffixes, warc
+from wordtide.llm import attention, bpe, decontaminate, mixing, neardup, rules, substrings, suffixes, warc
 from wordtide.scratch import scratch_folder
 
 
@@ -34,6 +34,11 @@ def op4_warc_round_trip(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"), folder)
 
 
+def op5_quality_classifier(spark, sf_dir):
+    found = attention.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_quality_rules(spark, sf_dir):
     return rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_warc_round_trip": op4_warc_round_trip,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_quality_rules": op6_quality_rules,
         "op7_source_mixing": op7_source_mixing,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
