@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordtide.llm import attention, bpe, decontaminate, mixing, neardup, rules, substrings, suffixes, warc
+from wordtide.llm import attention, bpe, decontaminate, licenses, mixing, neardup, rules, substrings, suffixes, warc
 from wordtide.scratch import scratch_folder
 
 
@@ -52,6 +52,17 @@ def op8_suffix_array_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_license_scan(spark, sf_dir):
+    found = licenses.license_matches(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("matches").alias("n_licenses"),
+        F.array_join("matches.license", ",").alias("licenses"),
+        F.array_max("matches.containment").alias("containment"),
+        F.array_min("matches.first_word").alias("first_word"),
+    )
+
+
 def op10_substring_dedup(spark, sf_dir):
     cut = substrings.substring_dedup(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -67,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_source_mixing": op7_source_mixing,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
+        "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
