@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordtide.llm import attention, bpe, decontaminate, licenses, mixing, neardup, rules, substrings, suffixes, warc
+from wordtide.llm import attention, bpe, decontaminate, licenses, mixing, neardup, oracle, rules, substrings, suffixes, warc
 from wordtide.scratch import scratch_folder
 
 
@@ -84,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
