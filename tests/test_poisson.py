@@ -34,11 +34,27 @@ def test_against_a_second_implementation(spark, alpha):
         assert np.allclose(mine, theirs, rtol=1e-9, atol=1e-7)
 
 
-def test_newton_and_series_meet():
-    at = 2.0 * poisson._EXACT
-    around = poisson.chi_squared_quantile(0.995, np.array([at - 1, at, at + 1, at + 2]))
-    steps = np.diff(around)
-    assert np.abs(steps - steps.mean()).max() < 2e-6
+def test_quantiles_grow_evenly():
+    """Neighbouring degrees differ by the same step wherever they are: there is no seam."""
+    for at in (4_000.0, 10_000.0, 1e6):
+        around = poisson.chi_squared_quantile(0.995, at + np.arange(6.0))
+        steps = np.diff(around)
+        assert np.abs(np.diff(steps, 2)).max() < 1e-7
+
+
+@pytest.mark.parametrize("alpha", [1 - 1e-9, 1e-6])
+def test_extreme_levels(spark, alpha):
+    law = spark._jvm.org.apache.commons.math3.distribution.GammaDistribution
+    tail = (1 - alpha) / 2
+    degrees = np.array([2.0, 9.0, 400.0, 30_000.0, 4e6])
+    for p in (tail, 1 - tail):
+        for d, y in zip(degrees, poisson.chi_squared_quantile(p, degrees)):
+            assert law(d / 2, 1.0).cumulativeProbability(y / 2) == pytest.approx(p, rel=1e-6, abs=1e-13)
+
+
+def test_very_large_counts():
+    width = poisson.interval_width(np.array([1e6, 1e9, 1e12]), 1)
+    assert np.allclose(width, 1 + 2 * 2.5758293035489 * np.sqrt([1e6, 1e9, 1e12]), rtol=1e-5)
 
 
 @pytest.mark.parametrize("samples", [1, 2, 4, 6, 30])

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from wordtide.operators import topics
 from wordtide.plans.topics import topics_between, words_between
@@ -26,11 +27,20 @@ def test_word_arrays(posts):
     assert by_id(topics.word_arrays(posts, ["the"], drop_empty=True))[0] == ["cat", "hat"]
 
 
-def test_long_stop_lists_are_joined(spark, posts, monkeypatch):
-    stop = spark.createDataFrame([("The",), ("a",), ("b",)], "word STRING")
-    assert by_id(topics.word_arrays(posts, stop)) == EXPECTED
-    monkeypatch.setattr(topics, "LISTED_STOPWORDS", 2)
-    assert by_id(topics.word_arrays(posts, stop)) == EXPECTED
+@pytest.mark.parametrize("more", [2, 20_000])
+def test_stop_lists_of_any_length_give_the_same(spark, make_posts, more):
+    """Also for posts that share an id, or have none."""
+    rows = make_posts([(1, "The cat, THE hat."), (2, "dog the"), (3, "a dog")])
+    rows = rows.withColumn("post_id", F.when(F.col("post_id") < 2, F.lit(7).cast("bigint")))
+    stop = spark.createDataFrame([("The",), (None,), *[(f"x{i}",) for i in range(more)]], "word STRING")
+    found = sorted([(r.post_id, r.words) for r in topics.word_arrays(rows, stop, drop_empty=True).collect()], key=repr)
+    assert found == [(7, ["cat", "hat"]), (7, ["dog"]), (None, ["a", "dog"])]
+
+
+def test_endless_stop_lists_are_refused(spark, posts, monkeypatch):
+    monkeypatch.setattr(topics, "MOST_STOPWORDS", 1)
+    with pytest.raises(ValueError):
+        topics.word_arrays(posts, spark.createDataFrame([("a",), ("b",)], "word STRING"))
 
 
 def test_vocabulary_and_bag(posts):
@@ -64,3 +74,36 @@ def test_lda(spark, sf_dir):
     assert quality.log_perplexity == pytest.approx(fitted.model.logPerplexity(fitted.features), rel=1e-9)
     again = topics_between(posts, *WEEK, COMMON, k=3, max_iter=3, vocabulary_size=50)
     assert [r.terms for r in again.topics().collect()] == [r.terms for r in rows]
+
+
+def test_disjoint_vocabularies_are_recovered(make_posts):
+    rows = [(i, " ".join(["red green blue"] * 8 if i % 2 else ["cat dog bird"] * 8)) for i in range(60)]
+    arrays = topics.word_arrays(make_posts(rows), [], drop_empty=True)
+    with topics.fit_topics(arrays, k=2, max_iter=30, vocabulary_size=10) as model:
+        heads = [frozenset(r.terms.split(",")[:3]) for r in model.topics(3).collect()]
+        assert set(heads) == {frozenset(("red", "green", "blue")), frozenset(("cat", "dog", "bird"))}
+        for r in model.post_topics().collect():
+            assert max(r.mixture) > 0.9
+
+
+def test_likelihood_is_a_bound(make_posts):
+    """The bound lies below the likelihood of a word distribution for each post of its own."""
+    import math
+
+    texts = ["a a b", "a b b b", "b a a a"] * 4
+    arrays = topics.word_arrays(make_posts(list(enumerate(texts))), [], drop_empty=True)
+    with topics.fit_topics(arrays, k=2, max_iter=20, vocabulary_size=5) as model:
+        quality = model.quality().first()
+        best = sum(t.split().count(w) * math.log(t.split().count(w) / len(t.split())) for t in texts for w in "ab")
+        total = sum(len(t.split()) for t in texts)
+        assert quality.log_likelihood < best < 0
+        assert quality.log_perplexity == pytest.approx(-quality.log_likelihood / total, rel=1e-9)
+        assert model.fit_seconds > 0
+
+
+def test_vectors_are_kept_until_closed(make_posts):
+    arrays = topics.word_arrays(make_posts([(1, "a b"), (2, "b c")]), [])
+    model = topics.fit_topics(arrays, k=2, max_iter=2, vocabulary_size=5)
+    assert model.features.storageLevel.useDisk
+    model.close()
+    assert not model.features.storageLevel.useDisk

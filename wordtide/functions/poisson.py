@@ -1,9 +1,11 @@
 """Width of the confidence interval of a Poisson mean, from chi-squared quantiles.
 
-The quantile of degrees 2m is twice the root y of P(m, y) = p, with P the regularised
-lower incomplete gamma function. Up to `_EXACT` the root comes from Newton steps; beyond
-it, from the Cornish-Fisher series of the chi-squared quantile, whose first dropped term
-is then below 1e-9, so the work per value stays constant however large the counts.
+The quantile of degrees 2m is twice the root of P(m, y) = p, with P the regularised lower
+incomplete gamma function. One method serves all counts: the density is integrated by a
+Gauss rule over the cube root of y / m, in which it is close to a normal one whatever m is, and
+Newton steps within a bracket find the root. All terms are differences from the mean, so
+nothing cancels for large m. Steps end when they are below 1e-12 of the root's own spread;
+values that do not get there are an error.
 """
 
 from __future__ import annotations
@@ -20,81 +22,63 @@ from pyspark.sql import Column, functions as F
 # Workers get these helpers with the function, so nothing need be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_EXACT = 5_000.0
-
-
-def _log_density(shape: np.ndarray, y: np.ndarray) -> np.ndarray:
-    log_gamma = np.array([math.lgamma(s) for s in shape])
-    return (shape - 1.0) * np.log(y) - y - log_gamma
-
-
-def _gamma_cdf(shape: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """P(shape, y): the power series left of the mean, the continued fraction right of it."""
-    density = np.exp(_log_density(shape, y))
-    low = y < shape + 1.0
-    out = np.empty_like(y)
-
-    a, x = shape[low], y[low]
-    term = np.ones_like(a)
-    total = np.ones_like(a)
-    step = 0
-    while term.size and np.any(term > total * 1e-17):
-        step += 1
-        term = term * x / (a + step)
-        total += term
-    out[low] = density[low] * x / a * total
-
-    a, x = shape[~low], y[~low]
-    tiny = 1e-300
-    b = x + 1.0 - a
-    c = np.full_like(a, 1.0 / tiny)
-    d = 1.0 / np.where(b == 0.0, tiny, b)
-    h = d.copy()
-    step, ratio = 0, np.zeros_like(a)
-    while a.size and np.any(np.abs(ratio - 1.0) > 1e-15) and step < 10_000:
-        step += 1
-        factor = -step * (step - a)
-        b = b + 2.0
-        d = factor * d + b
-        d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-        c = b + factor / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        ratio = c * d
-        h = h * ratio
-    out[~low] = 1.0 - density[~low] * x * h
-    return out
-
-
-def _series_quantile(degrees: np.ndarray, z: float) -> np.ndarray:
-    root = np.sqrt(2.0 * degrees)
-    return (
-        degrees
-        + root * z
-        + 2.0 / 3.0 * (z**2 - 1.0)
-        + (z**3 - 7.0 * z) / (9.0 * root)
-        - (6.0 * z**4 + 14.0 * z**2 - 32.0) / (405.0 * degrees)
-        + (9.0 * z**5 + 256.0 * z**3 - 433.0 * z) / (4860.0 * degrees * root)
-        + (12.0 * z**6 - 243.0 * z**4 - 923.0 * z**2 + 1472.0) / (25515.0 * degrees**2)
-    )
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(120)
+_REACH = 14.0  # standard deviations beyond which nothing of the density is left
+
+
+def _stirling_rest(m: np.ndarray) -> np.ndarray:
+    """What Stirling's formula lacks of the logarithm of the gamma function."""
+    inverse = 1.0 / m
+    square = inverse * inverse
+    rest = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680)))
+    for i in np.flatnonzero(m < 30.0):
+        rest[i] = math.lgamma(m[i]) - (m[i] - 0.5) * math.log(m[i]) + m[i] - 0.5 * math.log(2 * math.pi)
+    return rest
+
+
+def _density(h: np.ndarray, m: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Density of h, where the gamma variable of shape m is m (1 + h)^3."""
+    above = h * (3.0 + h * (3.0 + h))
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        exponent = -m * (above - np.log1p(above)) - rest - np.log1p(h)
+        found = 3.0 * np.sqrt(m / (2.0 * math.pi)) * np.exp(exponent)
+    return np.where(h > -1.0, np.nan_to_num(found, nan=0.0, posinf=0.0), 0.0)
 
 
 def chi_squared_quantile(p: float, degrees: np.ndarray) -> np.ndarray:
-    degrees = np.asarray(degrees, dtype=float)
-    z = NormalDist().inv_cdf(p)
-    out = _series_quantile(degrees, z)
-    exact = degrees <= 2.0 * _EXACT
-    if not exact.any():
-        return out
-    shape = degrees[exact] / 2.0
-    cube = 1.0 / (9.0 * shape)
-    y = shape * np.maximum(1.0 - cube + z * np.sqrt(cube), 1e-2) ** 3
-    for _ in range(50):
-        step = (_gamma_cdf(shape, y) - p) / np.exp(_log_density(shape, y))
-        y = np.maximum(y - step, y / 10.0)
-        if np.all(np.abs(step) <= 1e-13 * y + 1e-14):
-            break
-    out[exact] = 2.0 * y
-    return out
+    """The quantile for each number of degrees, 2 at least."""
+    m = np.asarray(degrees, dtype=float) / 2.0
+    rest = _stirling_rest(m)
+    spread = 1.0 / (3.0 * np.sqrt(m))
+    low = np.maximum(-spread * (_REACH + spread), -1.0)
+    high = spread * (_REACH + _REACH * spread)
+    left = p <= 0.5
+    end, share = (low, p) if left else (high, 1.0 - p)
+
+    def tail(h: np.ndarray) -> np.ndarray:
+        half = (h - end)[:, None] / 2.0
+        at = end[:, None] + half * (1.0 + _NODES)
+        # Row by row, so a value does not depend on those beside it.
+        return np.abs((_density(at, m[:, None], rest[:, None]) * half * _WEIGHTS).sum(axis=1))
+
+    h = np.clip(NormalDist().inv_cdf(p) * spread - spread * spread, low + 1e-3 * spread, high)
+    done = np.zeros(len(m), bool)
+    for _ in range(200):
+        excess = tail(h) - share
+        over = excess > 0 if left else excess < 0
+        high = np.where(over, h, high)
+        low = np.where(over, low, h)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            # On the logarithm of the tail, which is close to a straight line far out.
+            step = np.log1p(excess / share) * (excess + share) / _density(h, m, rest)
+        later = h - step if left else h + step
+        later = np.where((later > low) & (later < high), later, (low + high) / 2.0)
+        settled = np.abs(later - h) <= 1e-12 * spread + 4e-16
+        h = np.where(done, h, later)
+        done |= settled
+        if done.all():
+            return 2.0 * m * (1.0 + h) ** 3
+    raise ArithmeticError(f"no quantile of {p} for degrees {np.asarray(degrees)[~done][:3]}")
 
 
 def interval_width(

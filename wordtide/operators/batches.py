@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
-from wordtide.operators.small import broadcast_if_small
+from wordtide.operators.small import join_lookup
 
 
 def with_fixed_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
@@ -18,7 +18,11 @@ def with_fixed_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFr
 
 
 def with_day(posts: DataFrame) -> DataFrame:
-    """Add the calendar `day` unless the source brought one."""
+    """Add the calendar `day` unless the source brought a `day` of its own.
+
+    A source of files does: the file or folder that a post is in, whatever the times of the
+    posts. Replay batches are one chain per `day`.
+    """
     return posts if "day" in posts.columns else posts.withColumn("day", F.to_date("ts"))
 
 
@@ -71,14 +75,14 @@ def with_replay_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataF
     """Add `day`, `batch_idx` and `anchor_sec` of the replay batch that holds the post.
 
     An equi join with one row per day and slot, so posts stay where they are while that
-    lookup is small. It grows with the hours covered, not with the posts.
+    lookup is small (`join_lookup`). It grows with the hours covered, not with the posts.
     """
     second = times.epoch_second(F.col("ts"))
     late = second >= F.col("late_sec")
+    placed = with_day(posts).withColumn("slot", _slot(second, seconds))
+    # Seconds differ enough within a slot to spread its posts, should the lookup be large.
     return (
-        with_day(posts)
-        .withColumn("slot", _slot(second, seconds))
-        .join(broadcast_if_small(_slots(posts, seconds)), ["day", "slot"])
+        join_lookup(placed, _slots(posts, seconds), ["day", "slot"], second)
         .withColumn("batch_idx", F.when(late, F.col("late_idx")).otherwise(F.col("late_idx") - 1))
         .withColumn("anchor_sec", F.when(late, F.col("late_sec")).otherwise(F.col("early_sec")))
         .select("day", *[c for c in posts.columns if c != "day"], "batch_idx", "anchor_sec")

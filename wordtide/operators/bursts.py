@@ -119,11 +119,17 @@ def events_vs_past(
     stream: Sequence[str] = (),
     alpha: float = P.CONFIDENCE,
     textbook: bool = False,
+    first_batch: Column | int | None = None,
 ) -> DataFrame:
-    """`*stream, batch_idx, word, n_now, avg_past, margin` of bursts against recent batches."""
-    joined = current_vs_past(counts, n, 0, stream)
+    """`*stream, batch_idx, word, n_now, avg_past, margin` of bursts against recent batches.
+
+    With `first_batch`, the number of the first batch, also `is_warmup`, which marks the n-1
+    first ones, whose past is not whole.
+    """
+    joined = current_vs_past(counts, n, 0 if first_batch is None else first_batch, stream)
     events = with_margin(joined, eta, n - 1, alpha, textbook)
-    return events.select(*stream, "batch_idx", "word", "n_now", "avg_past", "margin")
+    mark = [] if first_batch is None else ["is_warmup"]
+    return events.select(*stream, "batch_idx", "word", "n_now", "avg_past", "margin", *mark)
 
 
 def history_margins(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
-from wordtide.operators.small import broadcast_if_small
+from wordtide.operators.small import join_lookup
 from wordtide.operators.words import basic_tokens
 from wordtide.sources.stopwords import StopWords, without_stopwords
 
@@ -55,20 +55,25 @@ def period_word_frequency(
 
     Only the listed days if given. The totals are four rows per day. A shuffle on (day,
     quarter) would send all words of a quarter to one task, so they are broadcast: for
-    listed days as that bounds them, otherwise if they turn out few.
+    listed days as that bounds them, otherwise by `join_lookup`.
     """
     posts = of_days(posts, days)
     counts = without_stopwords(period_word_counts(posts, min_count), stop)
-    totals = period_totals(posts)
-    totals = broadcast_if_small(totals) if days is None else F.broadcast(totals)
-    return counts.join(totals, ["day", "quarter"]).select(
+    totals, keys = period_totals(posts), ["day", "quarter"]
+    if days is None:
+        joined = join_lookup(counts, totals, keys, F.col("word"))
+    else:
+        joined = counts.join(F.broadcast(totals), keys)
+    return joined.select(
         "day", "quarter", "word", F.round(F.col("count") / F.col("n_posts"), 4).alias("freq")
     )
 
 
-def top_words(counts: DataFrame, top_x: int | None = None, by: str = "count") -> DataFrame:
-    """Highest first, ties by word; the first `top_x` if given."""
-    ordered = counts.orderBy(F.desc(by), "word")
+def top_words(
+    counts: DataFrame, top_x: int | None = None, by: str = "count", then: str | None = None
+) -> DataFrame:
+    """Highest first, ties by word and then by `then`; the first `top_x` if given."""
+    ordered = counts.orderBy(F.desc(by), "word", *([then] if then else []))
     return ordered if top_x is None else ordered.limit(top_x)
 
 

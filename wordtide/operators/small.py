@@ -1,22 +1,28 @@
-"""Broadcasts behind a check of the size."""
+"""Joins with lookups that are small as a rule but have no bound of their own."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # 200,000 rows of a few numbers are some 10 MB: every hour of 22 years.
 BROADCAST_ROWS = 200_000
+SALTS = 64
 
 
-def broadcast_if_small(side: DataFrame, rows: int | None = None) -> DataFrame:
-    """`side` marked for broadcast if it has few rows, and as it is otherwise.
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: Column, most: int | None = None
+) -> DataFrame:
+    """`rows` with the columns of `lookup`, by equal `keys`.
 
-    For small aggregates whose size no parameter bounds. The check fetches at most
-    `rows` + 1 rows; a side that passes is joined as those rows, so it is computed once.
-    A larger one is joined by a shuffle, whose skewed partitions Spark splits.
+    The lookup's rows are counted, not fetched. Up to `most` are broadcast. More are
+    repeated for each of `SALTS` salts, and rows get their salt from a hash of `spread`, so
+    a key with very many rows is spread over that many tasks.
     """
-    rows = BROADCAST_ROWS if rows is None else rows
-    found = side.limit(rows + 1).collect()
-    if len(found) > rows:
-        return side
-    return F.broadcast(side.sparkSession.createDataFrame(found, side.schema))
+    if lookup.count() <= (BROADCAST_ROWS if most is None else most):
+        return rows.join(F.broadcast(lookup), list(keys))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    copies = lookup.select("*", salts)
+    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"]).drop("_salt")

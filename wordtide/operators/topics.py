@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,43 +15,35 @@ from wordtide.functions import patterns as P, text as T
 from wordtide.sources.stopwords import StopWords
 
 SEED = 42
-LISTED_STOPWORDS = 10_000
+#: Longest stop list; it is read to the driver and becomes a hash set of the predicate.
+MOST_STOPWORDS = 200_000
+
+
+def _listed(stop: StopWords) -> list[str]:
+    if not isinstance(stop, DataFrame):
+        return list(stop)
+    found = [row.word for row in stop.select("word").limit(MOST_STOPWORDS + 1).collect()]
+    if len(found) > MOST_STOPWORDS:
+        raise ValueError(f"a stop list of more than {MOST_STOPWORDS} words")
+    return found
 
 
 def word_arrays(posts: DataFrame, stop: StopWords, drop_empty: bool = False) -> DataFrame:
-    """`post_id, words`: basic tokens without stop words, ignoring case.
+    """`post_id, words`: basic tokens without stop words, ignoring case, one row per post.
 
-    Empty words count as words unless `drop_empty`. A stop list given as a DataFrame of
-    up to `LISTED_STOPWORDS` words is read to the driver and becomes a predicate; a
-    longer one is joined word by word, for which `post_id` must be unique.
+    Empty words count as words unless `drop_empty`. A stop list of any length, listed or a
+    DataFrame, is one predicate on the words within the post's row; ids need not be unique.
     """
     raw = F.coalesce(T.basic_words(F.col("text")), F.array().cast("array<string>"))
     raw = F.array_remove(raw, "") if drop_empty else raw
     arrays = posts.select("post_id", raw.alias("words"))
-    if isinstance(stop, DataFrame):
-        listed = [row.word for row in stop.limit(LISTED_STOPWORDS + 1).collect()]
-        if len(listed) > LISTED_STOPWORDS:
-            return _without_joined(arrays, stop)
-        stop = listed
     # The words are in lower case already.
-    lowered = [word.lower() for word in stop]
+    lowered = sorted({word.lower() for word in _listed(stop) if word is not None})
     if not lowered:
         return arrays
     return arrays.withColumn("words", F.filter("words", lambda w: ~w.isin(lowered)))
 
 
-def _without_joined(arrays: DataFrame, stop: DataFrame) -> DataFrame:
-    lowered = stop.select(F.lower("word").alias("word"), F.lit(True).alias("stopped")).distinct()
-    placed = arrays.select("post_id", F.posexplode_outer("words").alias("position", "word"))
-    kept = F.when(F.col("stopped").isNull() & F.col("word").isNotNull(), F.struct("position", "word"))
-    return (
-        placed.join(lowered, "word", "left")
-        .groupBy("post_id")
-        .agg(F.sort_array(F.collect_list(kept)).alias("kept"))
-        .select("post_id", F.col("kept.word").alias("words"))
-    )
-
-
 def vocabulary(words: DataFrame, size: int = P.VOCABULARY_SIZE) -> DataFrame:
     """`term_idx, term, count` of the commonest terms, ties by term.
 
@@ -89,11 +82,26 @@ def bag_of_words(words: DataFrame, model: CountVectorizerModel) -> DataFrame:
 
 @dataclass
 class TopicModel:
-    """A fitted model, the vectors it came from, and the terms of its vocabulary."""
+    """A fitted model, the vectors it came from, the terms of its vocabulary, and how long
+    the fit took.
+
+    The vectors stay persisted, so scoring does not split the texts again; `close` lets
+    them go. Used as a context manager, the model closes itself.
+    """
 
     model: LDAModel
     features: DataFrame
     terms: list[str]
+    fit_seconds: float = 0.0
+
+    def close(self) -> None:
+        self.features.unpersist()
+
+    def __enter__(self) -> TopicModel:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     def topics(self, n_terms: int = P.TOPIC_TERMS) -> DataFrame:
         """`topic, terms, weights`, the terms joined by commas."""
@@ -131,7 +139,7 @@ def fit_topics(
     vocabulary_size: int = P.VOCABULARY_SIZE,
     seed: int = SEED,
 ) -> TopicModel:
-    """Fit online LDA, its vectors persisted for the passes of the optimiser.
+    """Fit online LDA, its vectors persisted for the passes of the optimiser and for scoring.
 
     They spill to disk, and a lost executor's share is computed again from the source.
     """
@@ -139,7 +147,10 @@ def fit_topics(
     features = counter.transform(words).select("post_id", "features")
     features.persist()
     try:
+        start = time.perf_counter()
         model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(features)
-    finally:
+        seconds = time.perf_counter() - start
+    except BaseException:
         features.unpersist()
-    return TopicModel(model, features, counter.vocabulary)
+        raise
+    return TopicModel(model, features, counter.vocabulary, seconds)
