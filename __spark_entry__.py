@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from wordtide.functions import patterns as P, times  # noqa: E402
 from wordtide.functions.poisson import poisson_ci  # noqa: E402
+from wordtide.functions.text import basic_words  # noqa: E402
 from wordtide.operators import batches, bursts, frequency, seasonality, topics, words  # noqa: E402
 from wordtide.plans import events as event_plans, topics as topic_plans  # noqa: E402
 from wordtide.scratch import scratch_folder  # noqa: E402
@@ -42,11 +43,6 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.posts_from_documents(spark, sf_dir)
 
 
-def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts of which the texts are read."""
-    return sources.spread_small(_posts(spark, sf_dir))
-
-
 # --- sources -------------------------------------------------------------------------
 
 
@@ -61,13 +57,17 @@ def event_time_parse(spark, sf_dir):
     return rendered.withColumn("ts", times.parse_created_at(F.col("created_at")))
 
 
+def posts_from_json(spark, sf_dir):
+    return sources.posts_from_rendered_json(spark, sf_dir)
+
+
 def stopwords(spark, sf_dir):
-    """Stop words with the number of posts that hold them."""
-    tokens = words.basic_tokens(_texts(spark, sf_dir).select("post_id", "text"))
-    stop = stopwords_frame(spark)
-    held = tokens.join(F.broadcast(stop), "word", "left_semi").distinct()
+    """Stop words with the number of posts that hold them; a post names each at most once."""
+    listed = F.array(*map(F.lit, sorted(set(COMMON))))
+    found = F.array_intersect(basic_words(F.col("text")), listed)
+    held = _posts(spark, sf_dir).select(F.explode_outer(found).alias("word"))
     counts = held.groupBy("word").agg(F.count("*").alias("n_posts"))
-    return stop.join(counts, "word", "left").select(
+    return stopwords_frame(spark).join(counts, "word", "left").select(
         "word", F.coalesce("n_posts", F.lit(0)).alias("n_posts")
     )
 
@@ -87,22 +87,22 @@ def time_range_filter(spark, sf_dir):
 
 
 def tokens_basic(spark, sf_dir):
-    return words.basic_tokens(_texts(spark, sf_dir).select("post_id", "text"))
+    return words.basic_tokens(_posts(spark, sf_dir).select("post_id", "text"))
 
 
 def tokens_live(spark, sf_dir):
-    return words.live_tokens(_texts(spark, sf_dir).select("post_id", "text"))
+    return words.live_tokens(_posts(spark, sf_dir).select("post_id", "text"))
 
 
 def normalized_tokens(spark, sf_dir):
-    return words.normalized_tokens(_texts(spark, sf_dir).select("post_id", "text"), COMMON)
+    return words.normalized_tokens(_posts(spark, sf_dir).select("post_id", "text"), COMMON)
 
 
 # --- frequencies and seasonal words --------------------------------------------------
 
 
 def word_counts(spark, sf_dir):
-    return frequency.period_word_counts(_texts(spark, sf_dir))
+    return frequency.period_word_counts(_posts(spark, sf_dir))
 
 
 def period_totals(spark, sf_dir):
@@ -110,19 +110,25 @@ def period_totals(spark, sf_dir):
 
 
 def word_frequency(spark, sf_dir):
-    return frequency.period_word_frequency(_texts(spark, sf_dir), stopwords_frame(spark), days=DAYS)
+    return frequency.period_word_frequency(_posts(spark, sf_dir), stopwords_frame(spark), days=DAYS)
 
 
 def top_words(spark, sf_dir):
-    return frequency.count_words(_texts(spark, sf_dir), *WEEK, COMMON, top_x=100)[0]
+    return frequency.count_words(_posts(spark, sf_dir), *WEEK, COMMON, top_x=100)[0]
 
 
 def week_word_frequency(spark, sf_dir):
-    return frequency.count_words(_texts(spark, sf_dir), *WEEK, stopwords_frame(spark))[1]
+    return frequency.count_words(_posts(spark, sf_dir), *WEEK, stopwords_frame(spark))[1]
 
 
 def word_history(spark, sf_dir):
-    return seasonality.word_history(_texts(spark, sf_dir), COMMON, DAYS)
+    return seasonality.word_history(_posts(spark, sf_dir), COMMON, DAYS)
+
+
+def word_history_by_mean(spark, sf_dir):
+    """The 100 largest means of a word on a day."""
+    history = word_history(spark, sf_dir)
+    return frequency.top_words(history, by="mean", then="day").select("day", "word", "mean").limit(100)
 
 
 def word_deviation(spark, sf_dir):
@@ -134,11 +140,11 @@ def mean_deviation(spark, sf_dir):
 
 
 def seasonal_words(spark, sf_dir):
-    return seasonality.seasonal_words(_texts(spark, sf_dir), COMMON, DAYS)
+    return seasonality.seasonal_words(_posts(spark, sf_dir), COMMON, DAYS)
 
 
 def seasonal_words_min1(spark, sf_dir):
-    return seasonality.seasonal_words(_texts(spark, sf_dir), COMMON, DAYS, min_count=1)
+    return seasonality.seasonal_words(_posts(spark, sf_dir), COMMON, DAYS, min_count=1)
 
 
 def seasonal_word_list(spark, sf_dir):
@@ -153,12 +159,12 @@ def seasonal_rows_text(spark, sf_dir):
 
 
 def _fixed_tokens(spark, sf_dir):
-    placed = batches.with_fixed_batch(_texts(spark, sf_dir)).select("batch_idx", "text")
+    placed = batches.with_fixed_batch(_posts(spark, sf_dir)).select("batch_idx", "text")
     return words.normalized_tokens(placed, COMMON)
 
 
 def _replay_tokens(spark, sf_dir):
-    placed = batches.with_replay_batch(_texts(spark, sf_dir)).select(*event_plans.KEPT)
+    placed = batches.with_replay_batch(_posts(spark, sf_dir)).select(*event_plans.KEPT)
     return words.normalized_tokens(placed, COMMON)
 
 
@@ -174,6 +180,12 @@ def replay_batches_events(spark, sf_dir):
     return batches.replay_batches(sources.posts_from_events(spark, sf_dir))
 
 
+def replay_batches_by_month(spark, sf_dir):
+    """One chain of batches per month, as in a file that holds a month of posts."""
+    posts = sources.posts_from_events(spark, sf_dir)
+    return batches.replay_batches(posts.withColumn("day", F.trunc("ts", "month")))
+
+
 def windowed_counts(spark, sf_dir):
     return bursts.windowed_counts(fixed_batch_counts(spark, sf_dir), 5)
 
@@ -198,15 +210,15 @@ def events_poisson_rule(spark, sf_dir):
 
 
 def replay_events_root(spark, sf_dir):
-    return event_plans.file_events(_texts(spark, sf_dir), COMMON, eta=-3)
+    return event_plans.file_events(_posts(spark, sf_dir), COMMON, eta=-3)
 
 
 def replay_events_poisson(spark, sf_dir):
-    return _rounded(event_plans.file_events(_texts(spark, sf_dir), COMMON))
+    return _rounded(event_plans.file_events(_posts(spark, sf_dir), COMMON))
 
 
 def live_events_poisson(spark, sf_dir):
-    return _rounded(event_plans.live_events(_texts(spark, sf_dir)))
+    return _rounded(event_plans.live_events(_posts(spark, sf_dir)))
 
 
 def poisson_interval(spark, sf_dir):
@@ -230,7 +242,7 @@ def current_vs_history(spark, sf_dir):
 
 
 def current_vs_history_by_hour(spark, sf_dir):
-    placed = event_plans.aligned_batches(_texts(spark, sf_dir), "hour")
+    placed = event_plans.aligned_batches(_posts(spark, sf_dir), "hour")
     tokens = words.normalized_tokens(placed, COMMON)
     return bursts.current_vs_history(tokens, _is_last_day(), len(DAYS) - 1)
 
@@ -244,11 +256,18 @@ def _events_vs_history(eta):
     return query
 
 
+def history_events_union(spark, sf_dir):
+    """Bursts of the last day against the others, from two tables of posts."""
+    posts = batches.with_day(_posts(spark, sf_dir))
+    current, history = posts.where(_is_last_day()), posts.where(~_is_last_day())
+    return _rounded(event_plans.history_events(current, history, COMMON, eta=2))
+
+
 # --- topics --------------------------------------------------------------------------
 
 
 def _word_arrays(spark, sf_dir):
-    return topic_plans.words_between(_texts(spark, sf_dir), *WEEK, COMMON)
+    return topic_plans.words_between(_posts(spark, sf_dir), *WEEK, COMMON)
 
 
 def stopword_arrays(spark, sf_dir):
@@ -266,39 +285,84 @@ def bag_of_words(spark, sf_dir):
     return topics.bag_of_words(arrays, topics.vectorizer(arrays))
 
 
-def _lda_words(spark, sf_dir):
-    """In the input's own partitions: each of the optimiser's passes reads a small sample."""
-    return topic_plans.words_between(_posts(spark, sf_dir), *WEEK, COMMON)
+_fitted: dict[tuple, topics.TopicModel] = {}
+
+
+def _lda(spark, sf_dir):
+    """One fit serves all topic queries of a session and table."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _fitted:
+        while _fitted:
+            other, model = _fitted.popitem()
+            if other[0] == key[0]:
+                model.close()
+        _fitted[key] = topics.fit_topics(_word_arrays(spark, sf_dir))
+    return _fitted[key]
 
 
 def lda_topics(spark, sf_dir):
-    return topics.fit_topics(_lda_words(spark, sf_dir)).topics()
+    return _lda(spark, sf_dir).topics()
+
+
+def lda_topic_terms(spark, sf_dir):
+    """What holds of any fit: terms of the vocabulary, the heaviest first."""
+    model = _lda(spark, sf_dir)
+    terms = F.split("terms", ",")
+    return model.topics().select(
+        "topic",
+        F.size(terms).alias("n_terms"),
+        (F.size(F.array_except(terms, F.array(*map(F.lit, model.terms)))) == 0).alias("all_known"),
+        (F.reverse(F.array_sort("weights")) == F.col("weights")).alias("descending"),
+    )
 
 
 def lda_post_topics(spark, sf_dir):
-    return topics.fit_topics(_lda_words(spark, sf_dir)).post_topics()
+    return _lda(spark, sf_dir).post_topics()
+
+
+def lda_post_sums(spark, sf_dir):
+    """What holds of any fit: a mixture sums to 1, or to 0 without a term of the vocabulary."""
+    total = F.aggregate("mixture", F.lit(0.0), lambda a, b: a + b)
+    return _lda(spark, sf_dir).post_topics().select(
+        "post_id", F.size("mixture").alias("n_topics"), F.round(total, 6).alias("total")
+    )
 
 
 def lda_quality(spark, sf_dir):
-    return topics.fit_topics(_lda_words(spark, sf_dir)).quality()
+    return _lda(spark, sf_dir).quality()
 
 
 # --- streams -------------------------------------------------------------------------
 
 
-def _stream_events(eta):
-    def query(spark, sf_dir):
-        arriving = sources.posts_stream_from_documents(spark, sf_dir)
-        timed = streams.with_event_time(arriving, "0 seconds").select("event_time", "text")
-        tokens = words.normalized_tokens(timed, COMMON)
-        events = _rounded(streams.stream_events(tokens, 5, eta))
-        folder = scratch_folder(spark, "stream-events")
-        running = streams.write_events(events, f"{folder}/events", f"{folder}/checkpoint")
-        running.awaitTermination()
-        schema = "word STRING, n_now BIGINT, avg_past DOUBLE, margin DOUBLE, batch_idx BIGINT"
-        return spark.read.schema(schema).parquet(f"{folder}/events")
+#: Files of `documents` are in no order of time, and span a week.
+DISORDER = "8 days"
 
-    return query
+
+def _run_stream(spark, sf_dir, eta, write):
+    """Run the stream to its end; `write` starts it on events, a folder and a checkpoint."""
+    folder = scratch_folder(spark, "stream")
+    closing = f"{folder}/closing"
+    arriving = streams.with_closing(sources.posts_stream_from_documents(spark, sf_dir), closing)
+    timed = streams.with_event_time(arriving, DISORDER).select("event_time", "text")
+    events = streams.stream_events(words.normalized_tokens(timed, COMMON), 5, eta)
+    streams.run_to_the_end(spark, lambda: write(events, f"{folder}/out", f"{folder}/checkpoint"), closing)
+    return f"{folder}/out"
+
+
+def stream_event_words(spark, sf_dir):
+    out = _run_stream(spark, sf_dir, -2, streams.write_event_words)
+    # The text source knows strings only, also for folders.
+    lines = spark.read.schema("value STRING, day STRING, batch_idx STRING").text(out)
+    return lines.select(
+        F.col("value").alias("word"), F.col("day").cast("date"), F.col("batch_idx").cast("bigint")
+    )
+
+
+def stream_events_poisson(spark, sf_dir):
+    out = _run_stream(spark, sf_dir, 2, lambda e, path, at: streams.write_events(_rounded(e), path, at))
+    schema = "word STRING, n_now BIGINT, avg_past DOUBLE, margin DOUBLE, day DATE, batch_idx BIGINT"
+    return spark.read.schema(schema).parquet(out).drop("day")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -323,6 +387,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "posts": posts,
         "event_time_parse": event_time_parse,
+        "posts_from_json": posts_from_json,
         "stopwords": stopwords,
         "history_days": history_days,
         "time_range_filter": time_range_filter,
@@ -335,6 +400,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "week_word_frequency": week_word_frequency,
         "top_words": top_words,
         "word_history": word_history,
+        "word_history_by_mean": word_history_by_mean,
         "word_deviation": word_deviation,
         "mean_deviation": mean_deviation,
         "seasonal_words": seasonal_words,
@@ -344,6 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fixed_batch_counts": fixed_batch_counts,
         "replay_batches": replay_batches,
         "replay_batches_events": replay_batches_events,
+        "replay_batches_by_month": replay_batches_by_month,
         "windowed_counts": windowed_counts,
         "current_vs_past": current_vs_past,
         "events_root_rule": events_root_rule,
@@ -359,14 +426,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_vs_history_root_eta2": _events_vs_history(-2),
         "events_vs_history_poisson": _events_vs_history(5),
         "events_vs_history_poisson_eta2": _events_vs_history(2),
+        "history_events_union": history_events_union,
         "stopword_arrays": stopword_arrays,
         "vocabulary": vocabulary,
         "bag_of_words": bag_of_words,
         "lda_topics": lda_topics,
+        "lda_topic_terms": lda_topic_terms,
         "lda_post_topics": lda_post_topics,
+        "lda_post_sums": lda_post_sums,
         "lda_quality": lda_quality,
-        "stream_event_words": _stream_events(-2),
-        "stream_events_poisson": _stream_events(2),
+        "stream_event_words": stream_event_words,
+        "stream_events_poisson": stream_events_poisson,
         **_llm_queries(),
     }
 

@@ -91,6 +91,9 @@ CTES = {
     "event_seconds": """
         SELECT DISTINCT CAST(ts AS DATE) AS day, CAST(floor(epoch(ts)) AS BIGINT) AS sec
         FROM events""",
+    "month_seconds": """
+        SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS day, CAST(floor(epoch(ts)) AS BIGINT) AS sec
+        FROM events""",
     "anchors": """
         SELECT day, 0 AS batch_idx, min(sec) AS anchor_sec FROM {seconds} GROUP BY day
         UNION ALL
@@ -188,8 +191,8 @@ def _query(select: str, *needed: str, extra: dict[str, str] | None = None, **val
     stop_list = ", ".join(f"'{w}'" for w in COMMON)
     values = {"stop_list": stop_list, "min_count": 10, "seconds": "seconds", "placed": "replayed", **values}
     needs = {**NEEDS, "anchors": [values["seconds"]], "versus_history": [values["placed"]]}
-    if values["seconds"] == "event_seconds":
-        needs["event_seconds"] = []
+    if values["seconds"] != "seconds":
+        needs[values["seconds"]] = []
     ordered: list[str] = []
 
     def visit(name: str) -> None:
@@ -212,27 +215,24 @@ def _query(select: str, *needed: str, extra: dict[str, str] | None = None, **val
     return f"WITH RECURSIVE {', '.join(bodies)} {select}"
 
 
-def _root(joined: str, eta: int, *columns: str) -> str:
+def _marked(warmup: str | None) -> str:
+    return f", {warmup} AS is_warmup" if warmup else ""
+
+
+def _root(joined: str, eta: int, *columns: str, warmup: str | None = None) -> str:
     shown = ", ".join([*columns, "batch_idx", "word", "n_now", "avg_past"])
     margin = f"({abs(eta)} * sqrt(avg_past + 10) + 20)"
-    return f"SELECT {shown}, {margin} AS margin FROM {joined} WHERE n_now > {margin} + avg_past"
+    return f"SELECT {shown}, {margin} AS margin{_marked(warmup)} FROM {joined} WHERE n_now > {margin} + avg_past"
 
 
-def _poisson(joined: str, eta: int, *columns: str) -> str:
+def _poisson(joined: str, eta: int, *columns: str, warmup: str | None = None) -> str:
     shown = ", ".join([*columns, "batch_idx", "word", "n_now", "avg_past"])
-    return f"""SELECT {shown}, round({eta} * ci, 4) AS margin
+    return f"""SELECT {shown}, round({eta} * ci, 4) AS margin{_marked(warmup)}
         FROM {joined} JOIN ci ON ci.total = n_past WHERE n_now > {eta} * ci + avg_past"""
 
 
-def _closed(joined: str) -> str:
-    """Batches whose end is not after the last post."""
-    return f"""SELECT * FROM {joined}
-        WHERE (batch_idx + 1) * 3600 <= (SELECT max(sec) FROM timed)"""
-
-
 def oracle_sql() -> dict[str, str]:
     past5 = {"past": _past("fixed_counts", 5)}
-    closed = {**past5, "closed": _closed("past")}
     replay = {"past": _past("replay_counts", 2, "day,")}
     live = {"past": _past("live_counts", 5)}
     history = "SELECT * FROM versus_history"
@@ -324,12 +324,14 @@ def oracle_sql() -> dict[str, str]:
         "events_poisson_rule": _query(
             _poisson("past", 2), "fixed_counts", extra={**past5, **_interval("past", 4)}
         ),
-        "replay_events_root": _query(_root("past", -3, "day"), "replay_counts", extra=replay),
+        "replay_events_root": _query(_root("past", -3, "day", warmup="batch_idx < 1"), "replay_counts", extra=replay),
         "replay_events_poisson": _query(
-            _poisson("past", 3, "day"), "replay_counts", extra={**replay, **_interval("past", 1)}
+            _poisson("past", 3, "day", warmup="batch_idx < 1"), "replay_counts", extra={**replay, **_interval("past", 1)}
         ),
         "live_events_poisson": _query(
-            _poisson("past", 2), "live_counts", extra={**live, **_interval("past", 4)}
+            _poisson("past", 2, warmup="batch_idx < (SELECT min(sec) FROM timed) // 120 + 4"),
+            "live_counts",
+            extra={**live, **_interval("past", 4)}
         ),
         "poisson_ci": _query(
             "SELECT total, 4 AS n, round(ci, 4) AS ci FROM ci",
@@ -371,11 +373,40 @@ def oracle_sql() -> dict[str, str]:
             "vocabulary",
         ),
         "stream_event_words": _query(
-            f"SELECT * REPLACE (round(margin, 4) AS margin) FROM ({_root('closed', -2)})",
+            f"""SELECT word, CAST(make_timestamp(batch_idx * 3600 * 1000000) AS DATE) AS day, batch_idx
+            FROM ({_root("past", -2)})""",
             "fixed_counts",
-            extra=closed,
+            extra=past5,
         ),
         "stream_events_poisson": _query(
-            _poisson("closed", 2), "fixed_counts", extra={**closed, **_interval("closed", 4)}
+            _poisson("past", 2), "fixed_counts", extra={**past5, **_interval("past", 4)}
+        ),
+        "posts_from_json": _query("SELECT post_id, ts, CAST(NULL AS VARCHAR) AS lang, text FROM posts", "posts"),
+        "word_history_by_mean": _query(
+            "SELECT day, word, mean FROM history ORDER BY mean DESC, word, day LIMIT 100", "history"
+        ),
+        "replay_batches_by_month": _query(
+            """SELECT a.day, a.batch_idx, a.anchor_sec, count(*) AS n_posts
+            FROM (SELECT CAST(date_trunc('month', ts) AS DATE) AS day, CAST(floor(epoch(ts)) AS BIGINT) AS sec
+                  FROM events) t
+            ASOF JOIN anchors a ON t.day = a.day AND t.sec >= a.anchor_sec
+            GROUP BY ALL""",
+            "anchors",
+            seconds="month_seconds",
+        ),
+        "history_events_union": _query(
+            _poisson("versus_history", 2), "versus_history", extra=_interval("versus_history", 6)
+        ),
+        "lda_topic_terms": """
+            SELECT CAST(t AS INTEGER) AS topic, CAST(10 AS INTEGER) AS n_terms, true AS all_known,
+                   true AS descending
+            FROM range(10) r(t)""",
+        "lda_post_sums": _query(
+            """SELECT post_id, CAST(10 AS INTEGER) AS n_topics,
+                   CASE WHEN list_has_any(words, (SELECT list(term) FROM vocabulary)) THEN 1.0::DOUBLE
+                        ELSE 0.0::DOUBLE END AS total
+            FROM kept""",
+            "kept",
+            "vocabulary",
         ),
     }

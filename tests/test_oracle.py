@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, differences, types
 
-SLOW = {"lda_topics", "lda_post_topics", "lda_quality"}
+# What a fit of topics gives; what holds of any fit has SQL.
+NO_SQL = {"lda_topics", "lda_post_topics", "lda_quality"}
 ORACLES = entry.oracle_sql()
 # The queries of wordtide.llm have their own tests.
 OWN = [n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)]
@@ -27,7 +28,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 
 def test_only_topics_have_no_sql():
-    assert set(OWN) - set(ORACLES) == SLOW
+    assert set(OWN) - set(ORACLES) == NO_SQL
 
 
 def test_entry_has_rows(spark):

@@ -31,6 +31,13 @@ def test_event_words_by_batch(spark, tmp_path):
     assert sorted((r.batch_idx, r.value) for r in rows) == [(7, "bam"), (7, "boom"), (8, "boom")]
 
 
+def test_batches_of_different_days_stay_apart(spark, tmp_path):
+    events = spark.createDataFrame([("2024-01-01", 0, "a"), ("2024-01-02", 0, "b")], "day STRING, batch_idx INT, word STRING")
+    sinks.write_event_words(events, str(tmp_path / "events"))
+    rows = spark.read.text(str(tmp_path / "events")).collect()
+    assert sorted((str(r.day), r.batch_idx, r.value) for r in rows) == [("2024-01-01", 0, "a"), ("2024-01-02", 0, "b")]
+
+
 def test_topics_as_lines(spark, tmp_path):
     topics = spark.createDataFrame([(0, "a,b"), (1, "c,d")], "topic INT, terms STRING")
     sinks.write_topics(topics, str(tmp_path / "topics"))

@@ -40,6 +40,99 @@ def test_history_json_reads_the_file_named_like_its_folder(spark, history_root):
     assert [(r.post_id, str(r.day)) for r in rows] == [(1, "2020-02-01"), (2, "2020-02-02"), (3, "2020-02-02")]
 
 
+def test_history_days_as_folders_and_empty_days(spark, history_root):
+    import os
+
+    day = f"{history_root}/2020-02-03/2020-02-03"
+    os.makedirs(day)
+    for part in range(2):
+        with open(f"{day}/part-{part}", "w") as file:
+            file.write(line(20 + part, "Mon Feb 03 06:00:05 +0000 2020", "un"))
+    os.makedirs(f"{history_root}/2020-02-04")
+    os.makedirs(f"{history_root}/_temporary")
+    listing = sources.history_listing(spark, history_root)
+    assert list(listing) == ["2020-02-01", "2020-02-02", "2020-02-03", "2020-02-04"]
+    assert listing["2020-02-04"] is None
+    rows = sources.history_json(spark, history_root).where("text IS NOT NULL").collect()
+    assert sorted((r.post_id, r.day) for r in rows) == [
+        (1, "2020-02-01"), (2, "2020-02-02"), (3, "2020-02-02"), (20, "2020-02-03"), (21, "2020-02-03"),
+    ]
+    current = f"{history_root}/2020-02-02/2020-02-02"
+    found = plans.history_events_json(spark, current, history_root, [], eta=-1)
+    found.collect()
+    with_days = {n: plans.history_events_json(spark, current, history_root, [], eta=0, n_days=n) for n in (None, 4, 2)}
+    shares = {n: sorted((r.word, r.avg_past) for r in f.collect()) for n, f in with_days.items()}
+    assert shares[None] == shares[4]
+    os.makedirs(f"{history_root}/other")
+    with open(f"{history_root}/other/posts", "w") as file:
+        file.write("")
+    with pytest.raises(ValueError):
+        sources.history_listing(spark, history_root)
+
+
+def test_empty_history(spark, tmp_path):
+    (tmp_path / "root" / "2020-02-01").mkdir(parents=True)
+    assert sources.history_json(spark, str(tmp_path / "root")).count() == 0
+
+
+def test_a_file_that_runs_past_midnight_is_one_chain(spark, tmp_path):
+    current = tmp_path / "2020-02-07"
+    current.write_text(
+        line(1, "Fri Feb 07 23:30:00 +0000 2020", "a " * 60)
+        + line(2, "Sat Feb 08 00:15:00 +0000 2020", "b " * 60)
+        + line(3, "Sat Feb 08 00:40:00 +0000 2020", "c " * 60)
+    )
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+        found = plans.file_events_json(spark, str(current), [], zone=zone).collect()
+        assert sorted((r.day, r.batch_idx, r.word, r.is_warmup) for r in found) == [
+            ("2020-02-07", 0, "a", True), ("2020-02-07", 0, "b", True), ("2020-02-07", 1, "c", False),
+        ]
+
+
+def test_posts_are_stored_by_day(spark, make_posts, tmp_path):
+    from wordtide.sources.store import read_posts, write_posts
+
+    posts = make_posts([("2024-01-01 10:00:00", "a"), ("2024-01-02 10:00:00", "b"), ("2024-01-03 10:00:00", "c")])
+    posts = posts.unionByName(posts.limit(1).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    write_posts(posts, str(tmp_path / "store"))
+    assert read_posts(spark, str(tmp_path / "store")).count() == 3
+    some = read_posts(spark, str(tmp_path / "store"), ["2024-01-01", "2024-01-03"])
+    assert sorted(r.text for r in some.collect()) == ["a", "c"]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_seasonal_words_of_stored_posts_parse_json_once(spark, tmp_path, history_root):
+    from wordtide.plans.seasonal import seasonal_words_of_store
+    from wordtide.sources.store import write_posts
+
+    write_posts(sources.posts_json(spark, f"{history_root}/2020-02-02/2020-02-02"), str(tmp_path / "store"))
+    found = seasonal_words_of_store(spark, str(tmp_path / "store"), f"{history_root}/stop_words.txt", ["2020-02-02"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan json" not in plan and plan.count("FileScan parquet") == 2
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
+
+
+def test_jobs_from_the_command_line(spark, history_root, tmp_path):
+    from wordtide.__main__ import run
+
+    current = tmp_path / "2020-02-07"
+    current.write_text(line(5, "Fri Feb 07 06:00:00 +0000 2020", "deux " * 60 + "trois " * 60))
+    (tmp_path / "stop").write_text("trois\n")
+    run(spark, ["file-events", str(current), str(tmp_path / "stop"), str(tmp_path / "words"), "--eta", "-1"])
+    rows = spark.read.text(str(tmp_path / "words")).collect()
+    assert [(str(r.day), r.batch_idx, r.value) for r in rows] == [("2020-02-07", 0, "deux")]
+    run(spark, ["history-events", str(current), history_root, str(tmp_path / "stop"), str(tmp_path / "past"), "--eta", "2"])
+    assert [r.value for r in spark.read.text(str(tmp_path / "past")).collect()] == ["deux"]
+    run(spark, ["store", str(current), str(tmp_path / "store")])
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 1
+    run(spark, [
+        "topics", str(current), str(tmp_path / "stop"), "2020-02-07 05:00:00", "2020-02-07 07:00:00",
+        str(tmp_path / "topics"), "--topics", "2", "--iterations", "2", "--drop-empty",
+    ])
+    assert [r.value for r in spark.read.text(str(tmp_path / "topics")).collect()] == ["deux", "deux"]
+
+
 def test_history_days(spark, history_root):
     from wordtide.operators.bursts import history_days
 

@@ -32,9 +32,9 @@ ROWS = [
 ]
 
 
-def events(spark, folder, eta, n=3, delay="0 seconds"):
+def events(spark, folder, eta, n=3, delay="0 seconds", **options):
     posts = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
-    return streams.stream_events(streams.with_event_time(posts, delay), n, eta)
+    return streams.stream_events(streams.with_event_time(posts, delay), n, eta, **options)
 
 
 def run(query):
@@ -43,7 +43,7 @@ def run(query):
 
 def read(spark, path):
     schema = "word STRING, n_now BIGINT, avg_past DOUBLE, margin DOUBLE, batch_idx BIGINT"
-    return sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    return sorted(tuple(r) for r in spark.read.schema(schema + ", day DATE").parquet(path).drop("day").collect())
 
 
 @pytest.mark.parametrize("eta", [-1, 2])
@@ -119,11 +119,55 @@ def test_live_stream_equals_live_events(spark, make_posts, tmp_path):
     stored = spark.read.parquet(folder)
     arriving = spark.readStream.schema(stored.schema).parquet(folder)
     out = str(tmp_path / "out")
-    run(streams.write_events(live_stream_events(arriving), out, str(tmp_path / "checkpoint")))
-    expected = live_events(stored).where("batch_idx < (1704067200 + 2500) div 120")
-    columns = ["word", "n_now", "avg_past", "margin", "batch_idx"]
-    assert read(spark, out) == sorted(tuple(r) for r in expected.select(*columns).collect())
-    assert [r[0] for r in read(spark, out)] == ["Boom!", "late"]
+    first = 1_704_067_200 // 120
+    closed = streams.with_closing(arriving, str(tmp_path / "closing"))
+    found = live_stream_events(closed, "1 hour", first_batch=first)
+    streams.run_to_the_end(
+        spark, lambda: streams.write_events(found, out, str(tmp_path / "checkpoint"), seconds=120), str(tmp_path / "closing")
+    )
+    columns = ["word", "n_now", "avg_past", "margin", "is_warmup", "batch_idx"]
+    expected = sorted(tuple(r) for r in live_events(stored).select(*columns).collect())
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*columns).collect())
+    assert got == expected
+    assert [(r[0], r[4]) for r in got] == [("Boom!", True), ("late", False)]
+
+
+@pytest.mark.parametrize("eta", [-1, 2])
+def test_files_in_no_order_lose_nothing(spark, make_posts, tmp_path, eta):
+    """One file per micro-batch, shuffled in time: with a delay that covers it, all batches are whole."""
+    import random
+
+    pick = random.Random(eta)
+    rows = [(pick.randrange(20 * HOUR), pick.choice(["w", "x", "y"] + ["burst"] * (i % 7 == 0))) for i in range(900)]
+    rows += [(11 * HOUR + i, "burst " * 3) for i in range(60)]
+    pick.shuffle(rows)
+    folder = str(tmp_path / "posts")
+    for i in range(0, len(rows), 240):
+        make_posts(rows[i : i + 240]).coalesce(1).write.mode("append").parquet(folder)
+    stored = spark.read.parquet(folder)
+    arriving = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    closing = str(tmp_path / "closing")
+    timed = streams.with_event_time(streams.with_closing(arriving, closing), "1 day")
+    from wordtide.operators.words import normalized_tokens
+
+    tokens = normalized_tokens(timed.select("event_time", "text"))
+    found = streams.stream_events(tokens, 3, eta)
+    streams.run_to_the_end(
+        spark, lambda: streams.write_events(found, str(tmp_path / "out"), str(tmp_path / "checkpoint")), closing
+    )
+    placed = with_fixed_batch(stored).select("batch_idx", "text")
+    batch = bursts.events_vs_past(bursts.batch_word_counts(normalized_tokens(placed)), 3, eta)
+    expected = sorted(tuple(r) for r in batch.select("word", "n_now", "avg_past", "margin", "batch_idx").collect())
+    assert expected and read(spark, str(tmp_path / "out")) == expected
+
+
+def test_windows_slide_over_counts(spark, arrivals, tmp_path):
+    """Words are counted by batch before a window expands anything."""
+    arrivals(ROWS)
+    query = streams.write_events(events(spark, arrivals.folder, -1), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    run(query)
+    plan = query._jsq.explainInternal(False)
+    assert plan.index("Expand") < plan.rindex("StateStoreSave")
 
 
 def test_print_events(spark, arrivals, tmp_path):
@@ -142,4 +186,8 @@ def test_scratch_folder_is_below_the_shared_one(spark):
     shared = {"spark.checkpoint.dir": "hdfs://cluster/shared/"}
     session = SimpleNamespace(conf=SimpleNamespace(get=shared.get))
     assert scratch_folder(session, "label").startswith("hdfs://cluster/shared/label-")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        cluster = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": master}.get))
+        with pytest.raises(ValueError):
+            scratch_folder(cluster, "label")
     assert "label" in scratch_folder(spark, "label")

@@ -11,6 +11,7 @@ from wordtide.operators.seasonality import seasonal_words
 from wordtide.sinks.text import write_seasonal
 from wordtide.sources.posts import posts_json
 from wordtide.sources.stopwords import stopwords
+from wordtide.sources.store import read_posts
 
 
 def seasonal_words_of_days(
@@ -27,6 +28,19 @@ def seasonal_words_of_days(
     return seasonal_words(posts, stopwords(spark, stop_path), days, min_count, threshold)
 
 
+def seasonal_words_of_store(
+    spark: SparkSession,
+    path: str,
+    stop_path: str,
+    days: Sequence[str],
+    min_count: int = P.MIN_COUNT,
+    threshold: float = P.SEASONAL_THRESHOLD,
+) -> DataFrame:
+    """The same of posts stored by day (`sources.store`): the totals read the time column alone."""
+    posts = read_posts(spark, path, days)
+    return seasonal_words(posts, stopwords(spark, stop_path), days, min_count, threshold)
+
+
 def write_seasonal_words(
     spark: SparkSession,
     root: str,

@@ -37,5 +37,6 @@ def write_topics(topics: DataFrame, path: str) -> None:
 
 
 def write_event_words(events: DataFrame, path: str) -> None:
-    """The words of the events as text, one folder per batch."""
-    events.select("batch_idx", "word").write.partitionBy("batch_idx").text(path)
+    """The words of the events as text, one folder per batch, and per day where there is one."""
+    keys = [c for c in ("day", "batch_idx") if c in events.columns]
+    events.select(*keys, "word").write.partitionBy(*keys).text(path)

@@ -27,9 +27,14 @@ def _from_json(rows: DataFrame, zone: str) -> DataFrame:
     )
 
 
-def posts_json(spark: SparkSession, path: str, zone: str = "UTC") -> DataFrame:
-    """Posts from a file or folder of JSON lines; `zone` is the zone of the wall clock `ts`."""
-    return _from_json(spark.read.schema(POST_JSON).json(path), zone)
+def posts_json(spark: SparkSession, path: str | list[str], zone: str = "UTC", day: str | None = None) -> DataFrame:
+    """Posts from files or folders of JSON lines; `zone` is the zone of the wall clock `ts`.
+
+    With `day`, a column of that text: all that is read is one stream of posts, whatever
+    dates they have, as a file that runs past midnight is.
+    """
+    posts = _from_json(spark.read.schema(POST_JSON).json(path), zone)
+    return posts if day is None else posts.withColumn("day", F.lit(day))
 
 
 def posts_json_stream(spark: SparkSession, path: str, zone: str = "UTC") -> DataFrame:
@@ -37,26 +42,49 @@ def posts_json_stream(spark: SparkSession, path: str, zone: str = "UTC") -> Data
     return _from_json(spark.readStream.schema(POST_JSON).json(path), zone)
 
 
-def history_json(spark: SparkSession, root: str, zone: str = "UTC") -> DataFrame:
-    """Posts of all days below `root`, from `root/<day>/<day>`, with a `day` column.
+def day_name(path: str) -> str:
+    """The last part of a path: what a file or folder of one day is called."""
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _listed(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path), list(system.listStatus(path))
 
-    Plain files in `root` and other files in the folders are skipped. `day` is the
-    folder name, a DATE.
+
+def history_listing(spark: SparkSession, root: str) -> dict[str, str | None]:
+    """Path of the posts of each day below `root`: `root/<day>/<day>`, a file or a folder of files.
+
+    Plain files in `root`, hidden folders and other files beside the posts are skipped. An
+    empty folder is a day without posts (None). A folder that has something, but nothing
+    of its own name, is an error.
     """
-    rows = spark.read.schema(POST_JSON).json(f"{root.rstrip('/')}/*/*")
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
-    return (
-        rows.withColumn("day", F.when(folder == name, folder).cast("date"))
-        .where("day IS NOT NULL")
-        .select(
-            F.col("id").alias("post_id"),
-            times.parse_created_at(F.col("created_at"), zone).alias("ts"),
-            F.lit(None).cast("string").alias("lang"),
-            "text",
-            "day",
-        )
-    )
+    days: dict[str, str | None] = {}
+    for status in _listed(spark, root)[1]:
+        name = status.getPath().getName()
+        if not status.isDirectory() or name[0] in "._":
+            continue
+        inside = [s.getPath() for s in _listed(spark, status.getPath().toString())[1]]
+        own = [p.toString() for p in inside if p.getName() == name]
+        if inside and not own:
+            raise ValueError(f"{status.getPath()}: no file or folder {name} in it")
+        days[name] = own[0] if own else None
+    return dict(sorted(days.items()))
+
+
+def history_json(spark: SparkSession, root: str, zone: str = "UTC") -> DataFrame:
+    """Posts of all days of `history_listing`, with a `day` column, the folder's name."""
+    paths = [p for p in history_listing(spark, root).values() if p]
+    top = _listed(spark, root)[0].toUri().getRawPath().rstrip("/")
+    if not paths:
+        empty = spark.createDataFrame([], f"{POST_JSON}, day STRING")
+        return _from_json(empty, zone).withColumn("day", F.lit(None).cast("string"))
+    rows = spark.read.schema(POST_JSON).json(paths)
+    below = F.substring_index(F.col("_metadata.file_path"), f"{top}/", -1)
+    day = F.url_decode(F.substring_index(below, "/", 1))
+    columns = [F.col("id").alias("post_id"), times.parse_created_at(F.col("created_at"), zone).alias("ts")]
+    return rows.select(*columns, F.lit(None).cast("string").alias("lang"), "text", day.alias("day"))
 
 
 def _week_second():
@@ -84,6 +112,16 @@ def posts_stream_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posts_from_rendered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of `documents`, rendered as JSON lines and parsed by the JSON source's schema."""
+    posts = posts_from_documents(spark, sf_dir)
+    fields = F.struct(
+        F.col("post_id").alias("id"), times.format_created_at(F.col("ts")).alias("created_at"), "text", "lang"
+    )
+    parsed = posts.select(F.from_json(F.to_json(fields), POST_JSON).alias("post"))
+    return _from_json(parsed.select("post.*"), "UTC")
+
+
 def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of `events` as one-word posts with real times."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -92,15 +130,3 @@ def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("lang"),
         F.col("event_type").alias("text"),
     )
-
-
-def spread_small(posts: DataFrame) -> DataFrame:
-    """Give an input of few splits to all cores before its texts are split into words.
-
-    Fewer splits than cores means less than one split size per core, so the shuffle is
-    small; a larger input keeps its splits and is not shuffled.
-    """
-    cores = posts.sparkSession.sparkContext.defaultParallelism
-    if posts.rdd.getNumPartitions() >= cores:
-        return posts
-    return posts.repartition(cores, "post_id")
