@@ -30,11 +30,19 @@ def test_counts_equal_the_library(library):
 
 def test_a_small_memory_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    count = bpe.counter.__wrapped__(PATH)
+    count = bpe.counter(PATH)
     text = " ".join(cases.words(1, 500))
     assert count(text) == library(text)
 
 
+def test_slices_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 5)
+    pick, count = random.Random(2), bpe.counter(PATH)
+    for _ in range(1_500):
+        text = "".join(pick.choices("ab1 .\n\n\t'é", k=pick.randrange(1, 60)))
+        assert count(text) == library(text), text
+
+
 def test_documents(spark, library):
     rows = cases.passages() + [(100 + i, t) for i, t in enumerate(ODD) if "\x00" not in t]
     found = bpe.token_counts(cases.frame(spark, rows).withColumnRenamed("row", "n_tokens"), PATH).collect()

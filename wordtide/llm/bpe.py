@@ -13,8 +13,8 @@ the pattern of byte-level models. Pieces recur, so each task keeps the counts of
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 LIMIT = 1024
 REMEMBERED = 300_000
 
+#: Characters of a text that are cut into pieces at a time, at least.
+SLICE = 1 << 20
+
 #: Fixed: how byte-level models cut text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -121,22 +124,38 @@ class _Counts(dict):
         return found
 
 
-@lru_cache(maxsize=2)
+def slices(text: str, cut: re.Pattern) -> Iterator[str]:
+    """Parts of a long text whose pieces are those of the whole text.
+
+    Parts end after a single line feed between characters that are no white space: it is
+    a piece of its own, whether or not the text goes on.
+    """
+    at = 0
+    while len(text) - at > SLICE and (found := cut.search(text, at + SLICE)):
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:] if at else text
+
+
 def counter(path: str) -> Callable[[str], int]:
-    """A function from text to its number of tokens; kept by the process for later batches."""
+    """A function from text to its number of tokens, with a memory of its own."""
     import regex
 
     merges = Merges(path)
     counts = _Counts(merges)
     pieces = regex.compile(PATTERN).findall
     added = regex.compile("|".join(map(regex.escape, sorted(merges.added, key=len, reverse=True)))) if merges.added else None
+    cut = regex.compile(r"\S\n(?=\S)")
     get = counts.__getitem__
 
+    def plain(text: str) -> int:
+        return sum(sum(map(get, pieces(part))) for part in slices(text, cut))
+
     def count(text: str) -> int:
         if added is None or not any(token in text for token in merges.added):
-            return sum(map(get, pieces(text)))
+            return plain(text)
         parts = added.split(text)
-        return len(parts) - 1 + sum(sum(map(get, pieces(part))) for part in parts)
+        return len(parts) - 1 + sum(map(plain, parts))
 
     return count
 

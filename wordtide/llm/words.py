@@ -46,6 +46,9 @@ class _Powers:
         self._bases = base, pow(base, -1, 1 << 64)
         self._tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+    def __reduce__(self):
+        return _Powers, (self._bases[0],)  # without the tables
+
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._tables[0]) < n:
             for i, base in enumerate(self._bases):
