@@ -128,50 +128,54 @@ def hub_pairs(shared: DataFrame, least: float) -> DataFrame:
     return found.where((F.col("node") != F.col("hub")) & fits).select(*_ordered(F.col("node"), F.col("hub"))).distinct()
 
 
-def neighbour_pairs(tagged: DataFrame, least: float, turn: int, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Nodes of different classes that are near each other in a shuffled order of a bucket."""
+def mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """`bucket, node, n, label, members` of the buckets that hold nodes of several classes."""
+    tagged = shared.select("bucket", "node", "n").join(labels, "node")
     mixed = tagged.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")
     )
-    mixed = mixed.where("low < high").select("bucket", "members")
+    return tagged.join(mixed.where("low < high").select("bucket", "members"), "bucket")
+
+
+def neighbour_pairs(mixed: DataFrame, least: float, turn: int, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """Nodes of different classes that are near each other in a shuffled order of a bucket."""
     shuffled = F.xxhash64(F.lit(turn), "node")
     part = F.pmod(F.xxhash64(F.lit(turn), F.lit("part"), "node"), F.ceil(F.col("members") / PART))
-    placed = tagged.drop("members").join(mixed, "bucket").withColumn("part", part)
     near = Window.partitionBy("bucket", "part").orderBy(shuffled, "node")
     others = F.array(
         *[F.struct(*[F.lead(c, i).over(near).alias(c) for c in ("node", "label", "n")]) for i in range(1, neighbours + 1)]
     )
-    around = placed.withColumn("others", others)
+    around = mixed.withColumn("part", part).withColumn("others", others)
     pairs = around.withColumn("other", F.explode("others")).where("other.label <> label")
     fits = _sizes_allow(F.col("n"), F.col("other.n"), least)
     return pairs.where(fits).select(*_ordered(F.col("node"), F.col("other.node"))).distinct()
 
 
-def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame | None:
-    """`node, label` of nodes that are linked to another one; None if there are none."""
+def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """`node, label` of the nodes of `shared`: the least node that links lead to."""
     tested = [written(hub_pairs(shared, least), "pairs")]
-    links = [written(verified(tested[0], texts, least), "linked")]
-    labels, turn = None, 0
+    links = written(verified(tested[0], texts, least), "linked")
+    nodes = shared.select("node").distinct()
+    rows = nodes.count()
+    first = components(links)
+    labels = nodes.join(first, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    labels = written(labels, "labels", rows)
+    mixed, turn = shared, 0
     while True:
-        together = links[0]
-        for more in links[1:]:
-            together = together.union(more)
-        if labels is None or links[-1].head(1):
-            if labels is not None:
-                drop(labels)
-            labels = components(together)
-        elif turn:
-            return labels
         turn += 1
-        tagged = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        new = neighbour_pairs(tagged, least, turn)
+        # Buckets of one class stay so; the others get fewer from turn to turn.
+        mixed = written(mixed_buckets(mixed, labels), "mixed")
+        new = neighbour_pairs(mixed, least, turn)
         for before in tested:
             new = new.join(before, ["a", "b"], "left_anti")
-        new = written(new, "pairs")
+        new = written(new, "pairs", mixed.count())
         if not new.head(1):
             return labels
         tested.append(new)
-        links.append(written(verified(new, texts, least), "linked"))
+        links = written(verified(new, texts, least), "linked")
+        if not links.head(1):
+            return labels
+        labels = merged(labels, links, rows)
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -14,13 +14,22 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+#: Rows of a few numbers that a file of an iteration's table holds, and files at least.
+ROWS_PER_FILE, LEAST_FILES = 100_000, 8
+
+
+def written(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """`frame` written as Parquet below the shared folder and read again.
 
     Later steps start from these files, so a lost executor costs no more than the step at
-    hand. Shuffle files of the finished step are let go.
+    hand. Shuffle files of the finished step are let go. With `rows`, about the number of its
+    narrow rows, the files are as many as these need, not as many as there are shuffle
+    partitions.
     """
     spark = frame.sparkSession
+    if rows is not None:
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        frame = frame.coalesce(min(most, max(LEAST_FILES, rows // ROWS_PER_FILE)))
     folder = f"{scratch_folder(spark, label)}/table"
     schema = frame.schema
     frame.write.parquet(folder)
