@@ -62,6 +62,17 @@ def test_classes_against_all_pairs(spark, seed):
     assert {r.doc_id: r.class_id for r in found.collect()} == brute_classes(rows)
 
 
+def test_links_that_only_later_rounds_find(spark, monkeypatch):
+    """Without hubs all links come from rounds, in parts of few nodes."""
+    rows = near_rows(3, groups=3, copies=10)
+    monkeypatch.setattr(neardup, "PART", 5)
+    monkeypatch.setattr(neardup, "hub_pairs", lambda shared, least: shared.selectExpr("node AS a", "node AS b").limit(0))
+    found = neardup.near_duplicates(cases.frame(spark, rows))
+    classes = {r.doc_id: r.class_id for r in found.collect()}
+    expected = brute_classes(rows)
+    assert sum(classes[i] != expected[i] for i in expected) <= 2
+
+
 def test_awkward_rows(spark):
     texts = ["A b, c d e f!", "a B c; d e f", "a b", "a  b", "a c", None, "", "...", "x " * 5_000, "x " * 4_999]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "a  b"), (None, "a b"), (None, None), (None, "own words")]

@@ -8,12 +8,13 @@ is at least 0.8; classes are the connected components of the links.
 * Documents of one word sequence are one node, so copies never meet in a band.
 * 30 bands of 5 coordinates: a pair at 0.8 shares a band with a probability of 1 - 7e-6.
 * Within a band's bucket nodes are compared with the bucket's hub, the node that shares most
-  buckets: copies that drift from one original still share theirs with it. After that, nodes
-  of a bucket that are in different classes are compared with their next neighbours in a
-  shuffled order of the bucket, round by round, until a round links nothing new. In buckets
-  of up to `NEIGHBOURS + 1` nodes this compares all that is not in one class already; in
-  larger ones no more than a fixed number per node and round, never all pairs.
-* Large buckets are dealt out in salted parts before they are ordered.
+  buckets: copies that drift from one original still share theirs with it. After that,
+  nodes of a bucket that are in different classes are held against each other by their
+  signatures, of which a byte per coordinate is kept, and each node's `CLOSEST` ones are
+  compared, round by round, until a round links nothing new. A pair at 0.8 agrees in
+  `LEAST_AGREEMENT` of the coordinates but for one in 10^5.
+* Large buckets are dealt out, anew in each round, in parts of about `PART` nodes, so neither
+  work nor pairs grow with the square of a group.
 """
 
 from __future__ import annotations
@@ -22,19 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.llm import words as W
-from wordtide.llm.components import components
+from wordtide.llm.components import components, merged
 from wordtide.llm.darts import band_keys, signatures
 from wordtide.llm.tables import drop, text_id, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5
-NEIGHBOURS = 6
-#: Nodes of a bucket that are ordered together.
-PART = 1_000
+CLOSEST, LEAST_AGREEMENT = 4, 0.66
+PART = 250
 
 
 def document_key() -> Column:
@@ -55,7 +55,9 @@ def weighted(owner: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def signed_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`key, print, n, bands`: fingerprint (null without words), shingles and band keys."""
+    """`key, print, n, sketch, bands`: fingerprint (null without words), shingles, a byte of each
+    coordinate, and band keys.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.portions(batches):
@@ -63,19 +65,21 @@ def signed_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> D
             n = len(words.counts)
             owner, shingle = W.shingles(words, SHINGLE)
             sizes = np.bincount(owner, minlength=n)
-            keys = band_keys(signatures(*weighted(owner, shingle), n, bands * rows), rows)
+            values = signatures(*weighted(owner, shingle), n, bands * rows)
+            keys, sketches, k = band_keys(values, rows), values.astype(np.uint8).tobytes(), bands * rows
             prints = np.stack(W.fingerprints(words), axis=1).tobytes()
             has = words.counts > 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"),
                  pa.array([prints[16 * i : 16 * i + 16] if has[i] else None for i in range(n)], pa.binary()),
                  pa.array(sizes.astype(np.int64)),
+                 pa.array([sketches[k * i : k * (i + 1)] for i in range(n)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), W.signed(keys.ravel()))],
-                ["key", "print", "n", "bands"],
+                ["key", "print", "n", "sketch", "bands"],
             )
 
     keyed = docs.select(document_key().alias("key"), "text")
-    return keyed.mapInArrow(scan, "key BIGINT, print BINARY, n BIGINT, bands ARRAY<BIGINT>")
+    return keyed.mapInArrow(scan, "key BIGINT, print BINARY, n BIGINT, sketch BINARY, bands ARRAY<BIGINT>")
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -129,26 +133,53 @@ def hub_pairs(shared: DataFrame, least: float) -> DataFrame:
 
 
 def mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """`bucket, node, n, label, members` of the buckets that hold nodes of several classes."""
-    tagged = shared.select("bucket", "node", "n").join(labels, "node")
+    """`bucket, node, n, sketch, label, members` of the buckets that hold nodes of several classes."""
+    tagged = shared.select("bucket", "node", "n", "sketch").join(labels, "node")
     mixed = tagged.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")
     )
     return tagged.join(mixed.where("low < high").select("bucket", "members"), "bucket")
 
 
-def neighbour_pairs(mixed: DataFrame, least: float, turn: int, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Nodes of different classes that are near each other in a shuffled order of a bucket."""
-    shuffled = F.xxhash64(F.lit(turn), "node")
-    part = F.pmod(F.xxhash64(F.lit(turn), F.lit("part"), "node"), F.ceil(F.col("members") / PART))
-    near = Window.partitionBy("bucket", "part").orderBy(shuffled, "node")
-    others = F.array(
-        *[F.struct(*[F.lead(c, i).over(near).alias(c) for c in ("node", "label", "n")]) for i in range(1, neighbours + 1)]
-    )
-    around = mixed.withColumn("part", part).withColumn("others", others)
-    pairs = around.withColumn("other", F.explode("others")).where("other.label <> label")
-    fits = _sizes_allow(F.col("n"), F.col("other.n"), least)
-    return pairs.where(fits).select(*_ordered(F.col("node"), F.col("other.node"))).distinct()
+def closest_pairs(mixed: DataFrame, least: float, turn: int) -> DataFrame:
+    """Nodes of different classes with those of a bucket whose signatures agree most with theirs."""
+
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        node, label, n = (rows.column(c).to_numpy() for c in ("node", "label", "n"))
+        sketch = np.stack([np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()])
+        found = []
+        for i in range(len(node)):
+            fits = np.minimum(n, n[i]) >= np.maximum(n, n[i]) * (least - 1e-9)
+            others = np.flatnonzero((label != label[i]) & fits)
+            if not len(others):
+                continue
+            agree = (sketch[others] == sketch[i]).mean(axis=1)
+            best = np.lexsort((node[others], -agree))[:CLOSEST]
+            found += [(node[i], node[j]) for j in others[best[agree[best] >= LEAST_AGREEMENT]]]
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            bucket, part = (batch.column(c).to_numpy() for c in ("bucket", "part"))
+            cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+            for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                rows = batch.slice(begin, end - begin)
+                if held and rows.num_rows and any(
+                    held[0].column(c)[0] != rows.column(c)[0] for c in ("bucket", "part")
+                ):
+                    yield pairs_of(pa.Table.from_batches(held))
+                    held = []
+                held.append(rows)
+        if held:
+            yield pairs_of(pa.Table.from_batches(held))
+
+    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("members") / PART))
+    placed = mixed.withColumn("part", part).repartition(parts, "bucket", "part").sortWithinPartitions("bucket", "part")
+    columns = placed.select("bucket", "part", "node", "label", "n", "sketch")
+    return columns.mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
 
 
 def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -165,7 +196,7 @@ def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame
         turn += 1
         # Buckets of one class stay so; the others get fewer from turn to turn.
         mixed = written(mixed_buckets(mixed, labels), "mixed")
-        new = neighbour_pairs(mixed, least, turn)
+        new = closest_pairs(mixed, least, turn)
         for before in tested:
             new = new.join(before, ["a", "b"], "left_anti")
         new = written(new, "pairs", mixed.count())
@@ -188,10 +219,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
     signed = written(signed_documents(docs, bands, rows), "signatures")
     named = signed.where("print IS NOT NULL")
     nodes = written(
-        named.groupBy("print").agg(F.min(F.struct("key", "n", "bands")).alias("least")).select("print", "least.*"),
+        named.groupBy("print").agg(F.min(F.struct("key", "n", "sketch", "bands")).alias("least")).select("print", "least.*"),
         "nodes",
     )
-    placed = nodes.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"))
+    placed = nodes.select(F.col("key").alias("node"), "n", "sketch", F.explode("bands").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = written(placed.join(sizes, "bucket"), "buckets")
     members = named.select("key", "print").join(nodes.select("print", F.col("key").alias("node")), "print")
