@@ -75,7 +75,9 @@ def with_rarest(windows: DataFrame, words: DataFrame, bytes_: int) -> DataFrame:
         _exploded(words).join(block, "word").groupBy("word").agg(F.count("*").alias("n"))
         for block in _blocks(vocabulary, F.octet_length("word") + 40, "word", bytes_)
     ]
-    counted = vocabulary.join(_union(counts), "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
+    known = vocabulary.join(_union(counts), "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
+    # Written, so that the join that follows is between plain tables: common words can be split.
+    counted = written(known, "rarity")
     placed = windows.select("window", "ids", F.posexplode("window").alias("offset", "word"))
     rarest = F.min(F.struct("n", "word", "offset")).alias("rarest")
     return placed.join(counted, "word").groupBy("window").agg(F.first("ids").alias("ids"), rarest).select(
