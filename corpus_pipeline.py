@@ -24,7 +24,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of 50 words or more that an earlier document has."""
-    return spans.as_documents(docs, suffixes.suffix_dedup(docs))
+    return spans.as_documents(docs, suffixes.repeated(docs), suffixes.MIN_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

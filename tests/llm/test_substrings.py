@@ -39,8 +39,8 @@ def test_bad_lengths(spark):
 
 
 def test_documents_keep_their_columns(spark):
-    docs = cases.frame(spark, cases.passages())
-    cut = spans.as_documents(docs, substrings.substring_dedup(docs))
+    docs = cases.frame(spark, cases.passages()).withColumnRenamed("row", "n_words")
+    cut = spans.as_documents(docs, substrings.repeated(docs), 50)
     assert cut.schema.names == docs.schema.names
     for row in cut.collect():
-        assert row.n_chars == len(row.text or "")
+        assert row.n_chars == len(row.text or "") and row.n_words == 7

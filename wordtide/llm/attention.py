@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wordtide.llm import words as W
 
 PASSAGE = 32
-SAMPLE, BAG = 1_000, 1_000
+SAMPLE, BAG = 1_000, 250
 HIDDEN, ATTENTION = 16, 8
 STEPS, RATE, DECAY = 150, 0.02, 1e-3
 ENDINGS = 32

@@ -210,15 +210,17 @@ def without(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
     return cut_rows.select("row.*", *added)
 
 
-def as_documents(docs: DataFrame, cut: DataFrame) -> DataFrame:
-    """The columns of `docs`, with the text (and `n_chars`, where there is one) after the cut."""
-    changed = F.col("kept_text").isNotNull()
+def as_documents(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """`docs` with the texts (and `n_chars`, where there is one) after the cut, all else as it was."""
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    cut = without(whole, found, length)
     columns = []
     for name in docs.columns:
-        column = F.col(f"`{name}`")
+        column = F.col(f"whole.`{name}`")
         if name == "text":
             column = F.coalesce("kept_text", "text")
         elif name == "n_chars":
-            column = F.when(changed, F.char_length("kept_text")).otherwise(column).cast(docs.schema[name].dataType)
+            changed = F.when(F.col("kept_text").isNotNull(), F.char_length("kept_text"))
+            column = changed.otherwise(column).cast(docs.schema[name].dataType)
         columns.append(column.alias(name))
     return cut.select(*columns)
