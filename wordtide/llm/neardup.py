@@ -7,12 +7,13 @@ is at least 0.8; classes are the connected components of the links.
 
 * Documents of one word sequence are one node, so copies never meet in a band.
 * 30 bands of 5 coordinates: a pair at 0.8 shares a band with a probability of 1 - 7e-6.
-* Within a band's bucket nodes are compared with the bucket's hub, the node that shares most
-  buckets: copies that drift from one original still share theirs with it. After that,
+* Within a band's bucket nodes meet the bucket's hub, the node that shares most buckets:
+  copies that drift from one original still share theirs with it. Only pairs whose
+  signatures agree enough are compared. After that,
   nodes of a bucket that are in different classes are held against each other by their
   signatures, of which a byte per coordinate is kept, and each node's `CLOSEST` ones are
   compared, round by round, until a round links nothing new. A pair at 0.8 agrees in
-  `LEAST_AGREEMENT` of the coordinates but for one in 10^5.
+  `LEAST_AGREEMENT` of the coordinates but for one in 20,000.
 * Large buckets are dealt out, anew in each round, in parts of about `PART` nodes, so neither
   work nor pairs grow with the square of a group.
 """
@@ -33,7 +34,7 @@ from wordtide.llm.tables import drop, text_id, written
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5
-CLOSEST, LEAST_AGREEMENT = 4, 0.66
+CLOSEST, LEAST_AGREEMENT = 4, 0.67
 PART = 250
 
 
@@ -133,20 +134,38 @@ def hub_pairs(shared: DataFrame, least: float) -> DataFrame:
 
 
 def mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """`bucket, node, n, sketch, label, members` of the buckets that hold nodes of several classes."""
-    tagged = shared.select("bucket", "node", "n", "sketch").join(labels, "node")
+    """`bucket, node, n, label, members` of the buckets that hold nodes of several classes."""
+    tagged = shared.select("bucket", "node", "n").join(labels, "node")
     mixed = tagged.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")
     )
     return tagged.join(mixed.where("low < high").select("bucket", "members"), "bucket")
 
 
-def closest_pairs(mixed: DataFrame, least: float, turn: int) -> DataFrame:
+def agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree in `LEAST_AGREEMENT` of their coordinates."""
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (_stacked(batch.column(c)) for c in ("left", "right"))
+            enough = (left == right).mean(axis=1) >= LEAST_AGREEMENT if batch.num_rows else np.zeros(0, bool)
+            yield batch.select(["a", "b"]).filter(pa.array(enough))
+
+    a = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("left"))
+    b = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("right"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right").mapInArrow(agree, "a BIGINT, b BIGINT")
+
+
+def _stacked(column: pa.Array) -> np.ndarray:
+    return np.stack([np.frombuffer(x, np.uint8) for x in column.to_pylist()]) if len(column) else np.zeros((0, 1), np.uint8)
+
+
+def closest_pairs(mixed: DataFrame, sketches: DataFrame, least: float, turn: int) -> DataFrame:
     """Nodes of different classes with those of a bucket whose signatures agree most with theirs."""
 
     def pairs_of(rows: pa.Table) -> pa.RecordBatch:
         node, label, n = (rows.column(c).to_numpy() for c in ("node", "label", "n"))
-        sketch = np.stack([np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()])
+        sketch = _stacked(rows.column("sketch"))
         found = []
         for i in range(len(node)):
             fits = np.minimum(n, n[i]) >= np.maximum(n, n[i]) * (least - 1e-9)
@@ -177,17 +196,17 @@ def closest_pairs(mixed: DataFrame, least: float, turn: int) -> DataFrame:
 
     parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("members") / PART))
-    placed = mixed.withColumn("part", part).repartition(parts, "bucket", "part").sortWithinPartitions("bucket", "part")
+    placed = mixed.join(sketches, "node").withColumn("part", part).repartition(parts, "bucket", "part").sortWithinPartitions("bucket", "part")
     columns = placed.select("bucket", "part", "node", "label", "n", "sketch")
     return columns.mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
 
 
-def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def node_classes(shared: DataFrame, sketches: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """`node, label` of the nodes of `shared`: the least node that links lead to."""
-    tested = [written(hub_pairs(shared, least), "pairs")]
-    links = written(verified(tested[0], texts, least), "linked")
-    nodes = shared.select("node").distinct()
+    nodes = sketches.select("node")
     rows = nodes.count()
+    tested = [written(agreeing(hub_pairs(shared, least), sketches), "pairs")]
+    links = written(verified(tested[0], texts, least), "linked")
     first = components(links)
     labels = nodes.join(first, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     labels = written(labels, "labels", rows)
@@ -196,7 +215,7 @@ def node_classes(shared: DataFrame, texts: DataFrame, least: float) -> DataFrame
         turn += 1
         # Buckets of one class stay so; the others get fewer from turn to turn.
         mixed = written(mixed_buckets(mixed, labels), "mixed")
-        new = closest_pairs(mixed, least, turn)
+        new = closest_pairs(mixed, sketches, least, turn)
         for before in tested:
             new = new.join(before, ["a", "b"], "left_anti")
         new = written(new, "pairs", mixed.count())
@@ -222,16 +241,19 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
         named.groupBy("print").agg(F.min(F.struct("key", "n", "sketch", "bands")).alias("least")).select("print", "least.*"),
         "nodes",
     )
-    placed = nodes.select(F.col("key").alias("node"), "n", "sketch", F.explode("bands").alias("bucket"))
+    placed = nodes.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = written(placed.join(sizes, "bucket"), "buckets")
     members = named.select("key", "print").join(nodes.select("print", F.col("key").alias("node")), "print")
     wanted = shared.select(F.col("node").alias("key")).distinct()
+    drawn = nodes.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    sketches = written(drawn.select(F.col("key").alias("node"), "sketch"), "sketches")
+    wanted = sketches.select(F.col("node").alias("key"))
     keyed = docs.select(document_key().alias("key"), text_id().alias("tid"), "text")
     texts = written(
         keyed.join(wanted, "key", "left_semi").dropDuplicates(["key", "tid"]).select("key", "text"), "texts"
     )
-    labels = node_classes(shared, texts, least)
+    labels = node_classes(shared, sketches, texts, least)
     drop(texts)
     linked = members.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("class_id"))
     alone = signed.where("print IS NULL").select("key", F.col("key").alias("class_id"))
@@ -252,8 +274,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` that stay: one document of each class, and one row of that document."""
     found = written(classes(docs, least), "classes")
-    gone = found.where("class_id <> key OR repeats > 1").select("key")
-    again = found.where("class_id = key AND repeats > 1").select("key")
+    # Written, so that their size is known: few ids are broadcast, and documents stay in place.
+    rows = found.count()
+    gone = written(found.where("class_id <> key OR repeats > 1").select("key"), "gone", rows)
+    again = written(found.where("class_id = key AND repeats > 1").select("key"), "again", rows)
     row = docs.select(document_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     first = row.join(again, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
     return row.join(gone, "key", "left_anti").select("row.*").union(first.select("row.*"))
