@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordtide.llm import attention, bpe, decontaminate, licenses, mixing, neardup, oracle, rules, substrings, suffixes, warc
@@ -20,6 +19,8 @@ def op1_minhash_near_dedup(spark, sf_dir):
 
 
 def op2_token_counts(spark, sf_dir):
+    import public_tokenizers  # where the vocabulary files are; only this query needs it
+
     counted = bpe.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
