@@ -73,6 +73,30 @@ def test_links_that_only_later_rounds_find(spark, monkeypatch):
     assert sum(classes[i] != expected[i] for i in expected) <= 2
 
 
+def template_rows(pairs, pages, size=400):
+    """Pages of one template at 0.77 of each other, among them pairs at 0.802."""
+    base = cases.words("template", size + 4, 10**6)
+
+    def page(own):
+        return " ".join(base[:100] + own + base[100 + len(own) :])
+
+    texts = [page(cases.words(("page", i), 48, 10**6)) for i in range(pages)]
+    for i in range(pairs):
+        own = cases.words(("pair", i), 48, 10**6)
+        texts += [page(own), page(own[:8] + cases.words(("twin", i), 40, 10**6))]
+    random.Random(7).shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_links_behind_many_closer_looking_pages(spark):
+    """Other pages' signatures often look closer than that of the one true link."""
+    rows = template_rows(pairs=12, pages=60)
+    expected = brute_classes(rows)
+    assert len(rows) - len(set(expected.values())) == 12
+    found = neardup.near_duplicates(cases.frame(spark, rows))
+    assert {r.doc_id: r.class_id for r in found.collect()} == expected
+
+
 def test_awkward_rows(spark):
     texts = ["A b, c d e f!", "a B c; d e f", "a b", "a  b", "a c", None, "", "...", "x " * 5_000, "x " * 4_999]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "a  b"), (None, "a b"), (None, None), (None, "own words")]

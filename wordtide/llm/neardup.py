@@ -9,13 +9,11 @@ is at least 0.8; classes are the connected components of the links.
 * 30 bands of 5 coordinates: a pair at 0.8 shares a band with a probability of 1 - 7e-6.
 * Within a band's bucket nodes meet the bucket's hub, the node that shares most buckets:
   copies that drift from one original still share theirs with it. Only pairs whose
-  signatures agree enough are compared. After that,
-  nodes of a bucket that are in different classes are held against each other by their
-  signatures, of which a byte per coordinate is kept, and each node's `CLOSEST` ones are
-  compared, round by round, until a round links nothing new. A pair at 0.8 agrees in
-  `LEAST_AGREEMENT` of the coordinates but for one in 20,000.
-* Large buckets are dealt out, anew in each round, in parts of about `PART` nodes, so neither
-  work nor pairs grow with the square of a group.
+  signatures agree enough are compared: a pair at 0.8 agrees in `LEAST_AGREEMENT` of the
+  coordinates but for one in 20,000.
+* Nodes of a bucket that are in different classes after that go through an exact
+  prefix-filter join on their rarest shingles: all pairs of different classes that can be at
+  0.8 are compared.
 """
 
 from __future__ import annotations
@@ -34,8 +32,9 @@ from wordtide.llm.tables import drop, text_id, written
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5
-CLOSEST, LEAST_AGREEMENT = 4, 0.67
-PART = 250
+LEAST_AGREEMENT = 0.67
+SLOT_BITS = 18
+PART = 1_000
 
 
 def document_key() -> Column:
@@ -160,72 +159,118 @@ def _stacked(column: pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.uint8) for x in column.to_pylist()]) if len(column) else np.zeros((0, 1), np.uint8)
 
 
-def closest_pairs(mixed: DataFrame, sketches: DataFrame, least: float, turn: int) -> DataFrame:
-    """Nodes of different classes with those of a bucket whose signatures agree most with theirs."""
-
-    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        node, label, n = (rows.column(c).to_numpy() for c in ("node", "label", "n"))
-        sketch = _stacked(rows.column("sketch"))
-        found = []
-        for i in range(len(node)):
-            fits = np.minimum(n, n[i]) >= np.maximum(n, n[i]) * (least - 1e-9)
-            others = np.flatnonzero((label != label[i]) & fits)
-            if not len(others):
-                continue
-            agree = (sketch[others] == sketch[i]).mean(axis=1)
-            best = np.lexsort((node[others], -agree))[:CLOSEST]
-            found += [(node[i], node[j]) for j in others[best[agree[best] >= LEAST_AGREEMENT]]]
-        ends = np.array(found, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
+def elements(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and hash of each shingle; the repeats of a shingle within a text are elements of their own."""
+    owner, shingle = W.shingles(W.split(texts, W.PLAIN), SHINGLE)
+    order = np.lexsort((shingle, owner))
+    owner, shingle = owner[order], shingle[order]
+    if not len(owner):
+        return owner, shingle
+    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (shingle[1:] != shingle[:-1])])
+    begin = np.flatnonzero(new)
+    before = np.arange(len(owner)) - np.repeat(begin, np.diff(np.append(begin, len(owner))))
+    return owner, W.mix(shingle + before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many elements of the texts fall into each of `1 << SLOT_BITS` slots of hashes."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in W.portions(batches):
+            slot = elements(batch.column("text"))[1] >> np.uint64(64 - SLOT_BITS)
+            counts += np.bincount(slot.astype(np.int64), minlength=1 << SLOT_BITS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "count"])
+
+    found = texts.select("text").mapInArrow(scan, "slot BIGINT, count BIGINT").groupBy("slot").agg(F.sum("count").alias("count"))
+    rows = found.toArrow()  # one row a slot at most, whatever the input
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[rows.column("slot").to_numpy()] = rows.column("count").to_numpy()
+    return counts
+
+
+def rare_elements(texts: DataFrame, least: float) -> DataFrame:
+    """`node, label, n, at, bucket`: the rarest elements of each text, and their place in its order.
+
+    Elements are in one order for all texts, by the count of their slot and their hash. Two
+    texts that are similar enough share one of these.
+    """
+    counts = slot_counts(texts)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.portions(batches):
+            owner, element = elements(batch.column("text"))
+            order = np.lexsort((element, counts[(element >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], owner))
+            owner, element = owner[order], element[order]
+            n = np.bincount(owner, minlength=batch.num_rows)
+            at = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+            rare = at <= n[owner] - np.ceil(n[owner] * least - 1e-9)
+            owner = owner[rare]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(owner)), batch.column("label").take(pa.array(owner)),
+                 pa.array(n[owner]), pa.array(at[rare]), W.signed(element[rare])],
+                ["node", "label", "n", "at", "bucket"],
+            )
+
+    return texts.mapInArrow(scan, "node BIGINT, label BIGINT, n BIGINT, at BIGINT, bucket BIGINT")
+
+
+def rare_pairs(texts: DataFrame, least: float) -> DataFrame:
+    """All pairs of nodes of different classes that can be similar enough, by the elements they share.
+
+    The elements that two nodes still have from a shared one on bound their overlap. At the
+    first shared one the bound holds, so no link is missed.
+    """
+
+    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        columns = [rows.column(c).to_numpy() for c in ("node", "label", "n", "at")]
+        for begin in range(0, rows.num_rows, PART):
+            node, label, n, at = (x[begin : begin + PART] for x in columns)
+            for other in range(0, begin + 1, PART):
+                node_b, label_b, n_b, at_b = (x[other : other + PART] for x in columns)
+                need = np.ceil((n[:, None] + n_b) * (least / (1 + least)) - 1e-9)
+                fits = (np.minimum((n - at)[:, None], n_b - at_b) >= need) & (label[:, None] != label_b)
+                one, two = np.nonzero(fits)
+                ends = np.sort(np.stack([node[one], node_b[two]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            bucket, part = (batch.column(c).to_numpy() for c in ("bucket", "part"))
-            cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+            bucket = batch.column("bucket").to_numpy()
+            cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
             for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
-                if held and rows.num_rows and any(
-                    held[0].column(c)[0] != rows.column(c)[0] for c in ("bucket", "part")
-                ):
-                    yield pairs_of(pa.Table.from_batches(held))
+                if held and rows.num_rows and held[0].column("bucket")[0] != rows.column("bucket")[0]:
+                    yield from pairs_of(pa.Table.from_batches(held))
                     held = []
                 held.append(rows)
         if held:
-            yield pairs_of(pa.Table.from_batches(held))
+            yield from pairs_of(pa.Table.from_batches(held))
 
-    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("members") / PART))
-    placed = mixed.join(sketches, "node").withColumn("part", part).repartition(parts, "bucket", "part").sortWithinPartitions("bucket", "part")
-    columns = placed.select("bucket", "part", "node", "label", "n", "sketch")
-    return columns.mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
+    rare = written(rare_elements(texts, least), "rare")
+    mixed = rare.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    parts = int(rare.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meeting = rare.join(mixed.where("low < high").select("bucket"), "bucket")
+    placed = meeting.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return placed.mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
 
 
 def node_classes(shared: DataFrame, sketches: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """`node, label` of the nodes of `shared`: the least node that links lead to."""
     nodes = sketches.select("node")
     rows = nodes.count()
-    tested = [written(agreeing(hub_pairs(shared, least), sketches), "pairs")]
-    links = written(verified(tested[0], texts, least), "linked")
+    tested = written(agreeing(hub_pairs(shared, least), sketches), "pairs")
+    links = written(verified(tested, texts, least), "linked")
     first = components(links)
     labels = nodes.join(first, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     labels = written(labels, "labels", rows)
-    mixed, turn = shared, 0
-    while True:
-        turn += 1
-        # Buckets of one class stay so; the others get fewer from turn to turn.
-        mixed = written(mixed_buckets(mixed, labels), "mixed")
-        new = closest_pairs(mixed, sketches, least, turn)
-        for before in tested:
-            new = new.join(before, ["a", "b"], "left_anti")
-        new = written(new, "pairs", mixed.count())
-        if not new.head(1):
-            return labels
-        tested.append(new)
-        links = written(verified(new, texts, least), "linked")
-        if not links.head(1):
-            return labels
-        labels = merged(labels, links, rows)
+    rest = written(mixed_buckets(shared, labels).select("node", "label").distinct(), "rest", rows)
+    new = rare_pairs(texts.withColumnRenamed("key", "node").join(rest, "node"), least)
+    new = written(new.join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = written(verified(new, texts, least), "linked")
+    return merged(labels, links, rows) if links.head(1) else labels
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
