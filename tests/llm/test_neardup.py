@@ -97,6 +97,22 @@ def test_links_behind_many_closer_looking_pages(spark):
     assert {r.doc_id: r.class_id for r in found.collect()} == expected
 
 
+def test_one_link_in_a_large_group(spark, monkeypatch):
+    """Two pages of many that share a template, found however few nodes a part has."""
+    base = cases.words("template", 204, 10**6)
+    own = [cases.words(("own", i), 22 if i > 1 else 10, 10**6) for i in range(400)]
+    at = [50, 50] + [random.Random(i).randrange(8, 170) for i in range(2, 400)]
+    texts = [" ".join(base[:k] + o + base[k + len(o) :]) for k, o in zip(at, own, strict=True)]
+    random.Random(1).shuffle(texts)
+    rows = list(enumerate(texts))
+    expected = brute_classes(rows)
+    assert len(set(expected.values())) == len(rows) - 1
+    monkeypatch.setattr(neardup, "PART", 2)
+    monkeypatch.setattr(neardup, "hub_pairs", lambda shared, least: shared.selectExpr("node AS a", "node AS b").limit(0))
+    found = neardup.near_duplicates(cases.frame(spark, rows))
+    assert {r.doc_id: r.class_id for r in found.collect()} == expected
+
+
 def test_awkward_rows(spark):
     texts = ["A b, c d e f!", "a B c; d e f", "a b", "a  b", "a c", None, "", "...", "x " * 5_000, "x " * 4_999]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "a  b"), (None, "a b"), (None, None), (None, "own words")]

@@ -13,7 +13,8 @@ is at least 0.8; classes are the connected components of the links.
   coordinates but for one in 20,000.
 * Nodes of a bucket that are in different classes after that go through an exact
   prefix-filter join on their rarest shingles: all pairs of different classes that can be at
-  0.8 are compared.
+  0.8 are compared. Groups of over `PART` nodes are dealt out in blocks, each of which meets
+  each other, so no task has a whole group and no pair is left to chance.
 """
 
 from __future__ import annotations
@@ -223,38 +224,51 @@ def rare_pairs(texts: DataFrame, least: float) -> DataFrame:
     first shared one the bound holds, so no link is missed.
     """
 
-    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = [rows.column(c).to_numpy() for c in ("node", "label", "n", "at")]
-        for begin in range(0, rows.num_rows, PART):
-            node, label, n, at = (x[begin : begin + PART] for x in columns)
-            for other in range(0, begin + 1, PART):
-                node_b, label_b, n_b, at_b = (x[other : other + PART] for x in columns)
-                need = np.ceil((n[:, None] + n_b) * (least / (1 + least)) - 1e-9)
-                fits = (np.minimum((n - at)[:, None], n_b - at_b) >= need) & (label[:, None] != label_b)
-                one, two = np.nonzero(fits)
-                ends = np.sort(np.stack([node[one], node_b[two]]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        node, label, n, at, block, one, two = (
+            rows.column(c).to_numpy() for c in ("node", "label", "n", "at", "block", "one", "two")
+        )
+        left, right = np.flatnonzero(block == one[0]), np.flatnonzero(block == two[0])
+        found = []
+        for begin in range(0, len(left), PART):
+            i = left[begin : begin + PART]
+            for other in range(0, len(right), PART):
+                j = right[other : other + PART]
+                need = np.ceil((n[i][:, None] + n[j]) * (least / (1 + least)) - 1e-9)
+                fits = (np.minimum((n - at)[i][:, None], (n - at)[j]) >= need) & (label[i][:, None] != label[j])
+                x, y = np.nonzero(fits)
+                found.append(np.sort(np.stack([node[i[x]], node[j[y]]]), axis=0))
+        ends = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            bucket = batch.column("bucket").to_numpy()
-            cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+            group = np.stack([batch.column(c).to_numpy() for c in unit])
+            cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
             for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
-                if held and rows.num_rows and held[0].column("bucket")[0] != rows.column("bucket")[0]:
-                    yield from pairs_of(pa.Table.from_batches(held))
+                if held and rows.num_rows and any(held[0].column(c)[0] != rows.column(c)[0] for c in unit):
+                    yield pairs_of(pa.Table.from_batches(held))
                     held = []
                 held.append(rows)
         if held:
-            yield from pairs_of(pa.Table.from_batches(held))
+            yield pairs_of(pa.Table.from_batches(held))
 
+    unit = ["bucket", "one", "two"]
     rare = written(rare_elements(texts, least), "rare")
-    mixed = rare.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = rare.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")
+    )
     parts = int(rare.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    meeting = rare.join(mixed.where("low < high").select("bucket"), "bucket")
-    placed = meeting.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return placed.mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
+    # Each block of a large group meets each other one, and itself.
+    blocks = F.ceil(F.col("members") / PART)
+    met = rare.join(mixed.where("low < high").select("bucket", "members"), "bucket").withColumn("blocks", blocks)
+    met = met.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks"))
+    met = met.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    met = met.withColumn("one", F.least("block", "with")).withColumn("two", F.greatest("block", "with"))
+    placed = met.repartition(parts, *unit).sortWithinPartitions(*unit)
+    return placed.select(*unit, "block", "node", "label", "n", "at").mapInArrow(scan, "a BIGINT, b BIGINT").distinct()
 
 
 def node_classes(shared: DataFrame, sketches: DataFrame, texts: DataFrame, least: float) -> DataFrame:
