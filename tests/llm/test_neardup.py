@@ -132,6 +132,14 @@ def test_awkward_rows(spark):
     assert ids == sorted([0, 2, 4, 5, 6, 7, 8, None, None], key=repr)
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    copied, clean = " ".join(cases.words("copied", 60)), " ".join(cases.words("clean", 60))
+    docs = cases.frame(spark, [(1, copied), (5, copied + " more"), (5, clean), (6, clean)])
+    assert sorted((r.doc_id, r.text) for r in neardup.one_of_each(docs).collect()) == [(1, copied), (5, clean)]
+    found = sorted(tuple(r) for r in neardup.near_duplicates(docs).collect())
+    assert found == [(1, 1, True), (5, 1, False), (5, 5, True), (6, 5, False)]
+
+
 def test_one_row_stays_of_repeated_rows(spark):
     docs = cases.frame(spark, [(1, "some words"), (1, "some words"), (2, None), (2, None)])
     assert sorted(r.doc_id for r in neardup.one_of_each(docs).collect()) == [1, 2]

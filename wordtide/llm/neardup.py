@@ -56,7 +56,7 @@ def weighted(owner: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def signed_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`key, print, n, sketch, bands`: fingerprint (null without words), shingles, a byte of each
+    """`key, tid, print, n, sketch, bands`: fingerprint (null without words), shingles, a byte of each
     coordinate, and band keys.
     """
 
@@ -71,16 +71,16 @@ def signed_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> D
             prints = np.stack(W.fingerprints(words), axis=1).tobytes()
             has = words.counts > 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"),
+                [batch.column("key"), batch.column("tid"),
                  pa.array([prints[16 * i : 16 * i + 16] if has[i] else None for i in range(n)], pa.binary()),
                  pa.array(sizes.astype(np.int64)),
                  pa.array([sketches[k * i : k * (i + 1)] for i in range(n)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), W.signed(keys.ravel()))],
-                ["key", "print", "n", "sketch", "bands"],
+                ["key", "tid", "print", "n", "sketch", "bands"],
             )
 
-    keyed = docs.select(document_key().alias("key"), "text")
-    return keyed.mapInArrow(scan, "key BIGINT, print BINARY, n BIGINT, sketch BINARY, bands ARRAY<BIGINT>")
+    keyed = docs.select(document_key().alias("key"), text_id().alias("tid"), "text")
+    return keyed.mapInArrow(scan, "key BIGINT, tid BIGINT, print BINARY, n BIGINT, sketch BINARY, bands ARRAY<BIGINT>")
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -288,46 +288,52 @@ def node_classes(shared: DataFrame, sketches: DataFrame, texts: DataFrame, least
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`key, class_id, repeats`, one row per document: the least key of its class, and how
-    many rows have this key.
+    """`key, tid, class_id, class_tid, repeats`, one row per document: the least document of its
+    class, and how many rows are this document.
 
-    Keys are `document_key`; documents that share an id are one document. Documents without
-    words are classes of their own. An empty table gives no rows.
+    A document is a `document_key` and a `text_id`: rows that share an id but not the text are
+    documents of their own. Documents without words are classes of their own. An empty table
+    gives no rows.
     """
     signed = written(signed_documents(docs, bands, rows), "signatures")
     named = signed.where("print IS NOT NULL")
+    node = F.shiftrightunsigned(F.xxhash64("print"), 1).alias("node")
     nodes = written(
-        named.groupBy("print").agg(F.min(F.struct("key", "n", "sketch", "bands")).alias("least")).select("print", "least.*"),
+        named.groupBy("print").agg(F.min(F.struct("key", "tid", "n", "sketch", "bands")).alias("least")).select(node, "least.*"),
         "nodes",
     )
-    placed = nodes.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"))
+    placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = written(placed.join(sizes, "bucket"), "buckets")
-    members = named.select("key", "print").join(nodes.select("print", F.col("key").alias("node")), "print")
-    wanted = shared.select(F.col("node").alias("key")).distinct()
-    drawn = nodes.join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    sketches = written(drawn.select(F.col("key").alias("node"), "sketch"), "sketches")
-    wanted = sketches.select(F.col("node").alias("key"))
-    keyed = docs.select(document_key().alias("key"), text_id().alias("tid"), "text")
+    drawn = nodes.join(shared.select("node").distinct(), "node", "left_semi")
+    sketches = written(drawn.select("node", "key", "tid", "sketch"), "sketches")
+    keyed = docs.select(document_key().alias("key"), text_id().alias("tid"), "text").dropDuplicates(["key", "tid"])
     texts = written(
-        keyed.join(wanted, "key", "left_semi").dropDuplicates(["key", "tid"]).select("key", "text"), "texts"
+        keyed.join(sketches.select("node", "key", "tid"), ["key", "tid"]).select(F.col("node").alias("key"), "text"), "texts"
     )
-    labels = node_classes(shared, sketches, texts, least)
+    labels = node_classes(shared, sketches.select("node", "sketch"), texts, least)
     drop(texts)
-    linked = members.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("class_id"))
-    alone = signed.where("print IS NULL").select("key", F.col("key").alias("class_id"))
-    return linked.union(alone).groupBy("key").agg(F.min("class_id").alias("class_id"), F.count("*").alias("repeats"))
+    own = nodes.select("node", F.struct("key", "tid").alias("own"))
+    tagged = own.join(labels, "node", "left").select("node", "own", F.coalesce("label", "node").alias("label"))
+    heads = tagged.groupBy("label").agg(F.min("own").alias("head"))
+    headed = tagged.join(heads, "label").select("node", "head")
+    linked = named.select("key", "tid", node).join(headed, "node").select("key", "tid", "head")
+    alone = signed.where("print IS NULL").select("key", "tid", F.struct("key", "tid").alias("head"))
+    found = linked.union(alone).groupBy("key", "tid").agg(F.min("head").alias("head"), F.count("*").alias("repeats"))
+    return found.select("key", "tid", F.col("head.key").alias("class_id"), F.col("head.tid").alias("class_tid"), "repeats")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """`doc_id, class_id, kept`, one row for each row of `docs`.
 
-    `kept` marks the document that stays of each class, the one whose id is `class_id`. A
-    null id stays null, its class is named by a number above 2^62 unless an id is in it.
+    `kept` marks the document that stays of each class; its id is `class_id`. Different texts
+    of one id are told apart, so two classes can show the same id. A null id stays null, its
+    class is named by a number above 2^62 unless an id is in it.
     """
-    keyed = docs.select("doc_id", document_key().alias("key"))
-    found = keyed.join(classes(docs, least, bands, rows), "key")
-    return found.select("doc_id", "class_id", (F.col("key") == F.col("class_id")).alias("kept"))
+    keyed = docs.select("doc_id", document_key().alias("key"), text_id().alias("tid"))
+    found = keyed.join(classes(docs, least, bands, rows), ["key", "tid"])
+    first = (F.col("key") == F.col("class_id")) & (F.col("tid") == F.col("class_tid"))
+    return found.select("doc_id", "class_id", first.alias("kept"))
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -335,8 +341,10 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     found = written(classes(docs, least), "classes")
     # Written, so that their size is known: few ids are broadcast, and documents stay in place.
     rows = found.count()
-    gone = written(found.where("class_id <> key OR repeats > 1").select("key"), "gone", rows)
-    again = written(found.where("class_id = key AND repeats > 1").select("key"), "again", rows)
-    row = docs.select(document_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    first = row.join(again, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
-    return row.join(gone, "key", "left_anti").select("row.*").union(first.select("row.*"))
+    first = (F.col("key") == F.col("class_id")) & (F.col("tid") == F.col("class_tid"))
+    gone = written(found.where(~first | (F.col("repeats") > 1)).select("key", "tid"), "gone", rows)
+    again = written(found.where(first & (F.col("repeats") > 1)).select("key", "tid"), "again", rows)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = docs.select(document_key().alias("key"), text_id().alias("tid"), own)
+    once = row.join(again, ["key", "tid"], "left_semi").groupBy("key", "tid").agg(F.first("row").alias("row"))
+    return row.join(gone, ["key", "tid"], "left_anti").select("row.*").union(once.select("row.*"))
