@@ -68,6 +68,16 @@ def test_held_out_accuracy(spark):
     assert len(right) > 150 and np.mean(right) > 0.97
 
 
+def test_long_documents_are_learnt_from(spark):
+    """All bad documents are long ones; without them there would be one class and one score."""
+    texts, labels = bags(40)
+    texts = [t if y else t + "\n" + "junk%%% " * 25_000 for t, y in zip(texts, labels, strict=True)]
+    marks = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)], "doc_id BIGINT, quality INT")
+    model = attention.learn(cases.frame(spark, list(enumerate(texts))), marks)
+    scores = model.scores(pa.array(texts))
+    assert scores[labels == 1].min() > scores[labels == 0].max()
+
+
 def test_held_out_labels_are_not_read(spark):
     texts, labels = bags(60)
     docs = cases.frame(spark, list(enumerate(texts)))

@@ -7,7 +7,8 @@ a softmax of `w . (tanh(V h) * sigmoid(U h))`, and the weighted sum of encodings
 score. So a document with one bad passage among good ones can be told from a good one.
 
 The model is fitted in numpy on a bounded sample: up to `SAMPLE` labelled documents of each
-class, the ones of the least hashes of their ids, of at most `BAG` passages each. Scoring
+class, the ones of the least hashes of their ids. A text of over `BAG * PASSAGE * 20` bytes gives
+`BAG` of its passages, those of the least hashes of their places, others give all. Scoring
 is a map over documents, with the few thousand parameters in the task's closure.
 """
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.llm import words as W
+from wordtide.llm.tables import text_id
 
 PASSAGE = 32
 SAMPLE, BAG = 1_000, 250
@@ -147,6 +149,10 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, seed: int = 42, steps
     """
     pick = np.random.default_rng(seed)
     bag, x = passages(texts) if len(texts) else (np.zeros(0, int), np.zeros((1, FEATURES)))
+    return _fit(bag, x, labels, prior, pick, steps)
+
+
+def _fit(bag: np.ndarray, x: np.ndarray, labels: np.ndarray, prior: float, pick: np.random.Generator, steps: int) -> Model:
     mean, spread = x.mean(axis=0), x.std(axis=0)
     spread = np.where(spread > 1e-6, spread, 1.0)
 
@@ -197,11 +203,35 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = B
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     # At most twice `sample` rows of two numbers.
     wanted = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")
-    short = F.octet_length(F.coalesce("text", F.lit(""))) <= bag * PASSAGE * 20
-    rows = wanted.where(short).orderBy("doc_id", "text").limit(4 * sample).toArrow()
+    rows = _bags(wanted, bag).orderBy("doc_id", "tid").limit(4 * sample).toArrow()
     total = sum(counts.values())
-    texts = rows.column("text").combine_chunks()
-    return fit(texts, rows.column("y").to_numpy(), counts.get(1, 0) / total if total else 0.5)
+    parts = [np.frombuffer(x).reshape(-1, FEATURES) for x in rows.column("bag").to_pylist()]
+    owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    x = np.concatenate(parts) if parts else np.zeros((1, FEATURES))
+    prior = counts.get(1, 0) / total if total else 0.5
+    return _fit(owner, x, rows.column("y").to_numpy(), prior, np.random.default_rng(42), STEPS)
+
+
+def _bags(wanted: DataFrame, most: int) -> DataFrame:
+    """`doc_id, tid, y, bag`: features of the passages, of a long text of `most` of them."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.portions(batches):
+            owner, x = passages(batch.column("text"))
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            found = []
+            for begin, end, length in zip(ends, ends[1:], batch.column("length").to_pylist(), strict=False):
+                own = x[begin:end]
+                if length > most * PASSAGE * 20 and len(own) > most:
+                    own = own[np.sort(np.argsort(W.mix(np.arange(len(own), dtype=np.uint64)))[:most])]
+                found.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "tid", "y")), pa.array(found, pa.binary())], ["doc_id", "tid", "y", "bag"]
+            )
+
+    length = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("length")
+    named = wanted.select(F.col("doc_id").cast("bigint"), text_id().alias("tid"), F.col("y").cast("int"), length, "text")
+    return named.mapInArrow(encode, "doc_id BIGINT, tid BIGINT, y INT, bag BINARY")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
