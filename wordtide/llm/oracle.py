@@ -143,6 +143,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), counted AS (
+  SELECT lang, phrase, n_words, count(*) AS a FROM (
+    SELECT lang, m.k AS n_words, unnest(list_transform(range(1, len(w) - m.k + 2), lambda i: array_to_string(w[i : i + m.k - 1], ' '))) AS phrase
+    FROM split, (VALUES (1), (2), (3), (4)) m(k) WHERE len(w) >= m.k
+  ) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM counted WHERE n_words = 1 GROUP BY lang
+), known AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE a >= 30
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : n_words], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, n_words)) AS k FROM known WHERE n_words > 1)
+), scores AS (
+  SELECT c.lang, c.phrase, c.a, k, h.a AS l, t.a AS r, ((2000000::HUGEINT * c.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
+  FROM cuts c JOIN known h ON h.lang = c.lang AND h.phrase = c.head JOIN known t ON t.lang = c.lang AND t.phrase = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, max(a) AS most, phrase FROM (
+    SELECT lang, a, unnest(list_transform(range(1, n_words - m.k + 2), lambda i: array_to_string(w[i : i + m.k - 1], ' '))) AS phrase
+    FROM known, (VALUES (2), (3)) m(k) WHERE m.k < n_words
+  ) GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM scores s LEFT JOIN inner_phrases i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -151,4 +188,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality_rules(),
         "op8_suffix_array_dedup": PASSAGES,
         "op10_substring_dedup": PASSAGES,
+        "op11_phrase_collocations": COLLOCATIONS,
     }

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordtide.llm import attention, bpe, decontaminate, licenses, mixing, neardup, oracle, rules, substrings, suffixes, warc
+from wordtide.llm import (
+    attention, bpe, collocations, conversations, decontaminate, licenses, mixing, neardup, oracle, pieces, rules, substrings,
+    suffixes, warc,
+)
 from wordtide.scratch import scratch_folder
 
 
@@ -69,6 +72,20 @@ def op10_substring_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op13_sentencepiece(spark, sf_dir):
+    import public_tokenizers  # where the vocabulary files are
+
+    return pieces.round_trips(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -81,6 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_phrase_collocations": op11_phrase_collocations,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_sentencepiece": op13_sentencepiece,
     }
 
 
