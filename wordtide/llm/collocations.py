@@ -34,7 +34,7 @@ SCALE = 2_000_000
 #: Bits of a table of hashes: 16 MB.
 SLOTS = 1 << 27
 #: Bytes of text that are counted at a time, and counts that a task holds before it sends them.
-PORTION, HELD = 8 << 20, 4_000_000
+PORTION, HELD = 3 << 20, 1_500_000
 #: Entries of a summary that hash partitions are made small enough for.
 ENTRIES = 1 << 20
 
