@@ -24,7 +24,7 @@ from wordtide.scratch import scratch_folder  # noqa: E402
 from wordtide.sinks import text as text_sinks  # noqa: E402
 from wordtide.sources import posts as sources  # noqa: E402
 from wordtide.sources.stopwords import COMMON, stopwords_frame  # noqa: E402
-from wordtide.streaming import bursts as streams  # noqa: E402
+from wordtide.streaming import bursts as streams, history as stream_history, replay as stream_replay  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -126,9 +126,9 @@ def word_history(spark, sf_dir):
 
 
 def word_history_by_mean(spark, sf_dir):
-    """The 100 largest means of a word on a day."""
+    """The whole history, the largest mean of a word on a day first."""
     history = word_history(spark, sf_dir)
-    return frequency.top_words(history, by="mean", then="day").select("day", "word", "mean").limit(100)
+    return frequency.top_words(history, by="mean", then="day").select("day", "word", "mean")
 
 
 def word_deviation(spark, sf_dir):
@@ -365,6 +365,48 @@ def stream_events_poisson(spark, sf_dir):
     return spark.read.schema(schema).parquet(out).drop("day")
 
 
+def _run_replay(spark, arriving, delay, day, rows_of):
+    """Run a stream of posts with a `day` to its end; `rows_of` makes its rows."""
+    folder = scratch_folder(spark, "replay")
+    closing = f"{folder}/closing"
+    timed = streams.with_event_time(streams.with_closing(arriving, closing), delay)
+    rows = rows_of(timed.withColumn("day", day.cast("string")).select("day", "event_time", "text"), folder)
+    write = lambda: stream_replay.write_batches(rows, f"{folder}/out", f"{folder}/checkpoint")
+    streams.run_to_the_end(spark, write, closing)
+    found = spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    return found.withColumn("batch_idx", F.col("batch_idx").cast("int"))
+
+
+def stream_replay_batches(spark, sf_dir):
+    """Chains of anchored batches on a stream, one per month."""
+    arriving = sources.posts_stream_from_events(spark, sf_dir)
+    found = _run_replay(
+        spark, arriving, "40 days", F.trunc("ts", "month"), lambda timed, _: stream_replay.stream_replay_batches(timed)
+    )
+    return found.withColumn("day", F.col("day").cast("date"))
+
+
+def _stream_history(align, eta=None):
+    """The last day as a stream against the stored counts of the days before."""
+
+    def query(spark, sf_dir):
+        past = batches.with_day(_posts(spark, sf_dir)).where(~_is_last_day())
+        arriving = sources.posts_stream_from_documents(spark, sf_dir)
+        arriving = arriving.where(F.to_date("ts") == F.lit(LAST_DAY).cast("date"))
+
+        def rows_of(timed, folder):
+            n_days = event_plans.write_history_baseline(past, COMMON, f"{folder}/baseline", align)
+            baseline = stream_history.read_baseline(spark, f"{folder}/baseline")
+            if eta is None:
+                return event_plans.stream_history_counts(timed, baseline, n_days, COMMON, align).drop("event_hour")
+            events = event_plans.stream_history_events(timed, baseline, n_days, COMMON, eta, align)
+            return events if eta < 0 else _rounded(events)
+
+        return _run_replay(spark, arriving, "2 days", F.to_date("ts"), rows_of)
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Seasonal words. At this scale no word passes the default minimum count."""
     return seasonal_words_min1(spark, "/root/testdata/sf0.001")
@@ -437,6 +479,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lda_quality": lda_quality,
         "stream_event_words": stream_event_words,
         "stream_events_poisson": stream_events_poisson,
+        "stream_replay_batches": stream_replay_batches,
+        "stream_current_vs_history": _stream_history("ordinal"),
+        "stream_events_vs_history_root": _stream_history("hour", -2),
+        "stream_events_vs_history_poisson": _stream_history("hour", 2),
         **_llm_queries(),
     }
 

@@ -232,6 +232,12 @@ def _poisson(joined: str, eta: int, *columns: str, warmup: str | None = None) ->
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _oracle_sql()
+    # The same rows from a stream.
+    return found | {"stream_replay_batches": found["replay_batches_by_month"]}
+
+
+def _oracle_sql() -> dict[str, str]:
     past5 = {"past": _past("fixed_counts", 5)}
     replay = {"past": _past("replay_counts", 2, "day,")}
     live = {"past": _past("live_counts", 5)}
@@ -383,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "posts_from_json": _query("SELECT post_id, ts, CAST(NULL AS VARCHAR) AS lang, text FROM posts", "posts"),
         "word_history_by_mean": _query(
-            "SELECT day, word, mean FROM history ORDER BY mean DESC, word, day LIMIT 100", "history"
+            "SELECT day, word, mean FROM history", "history"
         ),
         "replay_batches_by_month": _query(
             """SELECT a.day, a.batch_idx, a.anchor_sec, count(*) AS n_posts
@@ -394,6 +400,11 @@ def oracle_sql() -> dict[str, str]:
             "anchors",
             seconds="month_seconds",
         ),
+        "stream_current_vs_history": _query(history, "versus_history"),
+        "stream_events_vs_history_root": _query(_root("versus_history", -2), "versus_history", placed="hourly"),
+        "stream_events_vs_history_poisson": _query(
+            _poisson("versus_history", 2), "versus_history", placed="hourly", extra=_interval("versus_history", 6)
+        ),
         "history_events_union": _query(
             _poisson("versus_history", 2), "versus_history", extra=_interval("versus_history", 6)
         ),

@@ -15,30 +15,51 @@ from wordtide.functions import patterns as P, text as T
 from wordtide.sources.stopwords import StopWords
 
 SEED = 42
-#: Longest stop list; it is read to the driver and becomes a hash set of the predicate.
-MOST_STOPWORDS = 200_000
+#: Longest stop table that is read to the driver, to become a hash set of the predicate.
+MOST_LISTED = 20_000
 
 
-def _listed(stop: StopWords) -> list[str]:
+def _listed(stop: StopWords) -> list[str] | None:
+    """The words, or None for a table of more than `MOST_LISTED`."""
     if not isinstance(stop, DataFrame):
         return list(stop)
-    found = [row.word for row in stop.select("word").limit(MOST_STOPWORDS + 1).collect()]
-    if len(found) > MOST_STOPWORDS:
-        raise ValueError(f"a stop list of more than {MOST_STOPWORDS} words")
-    return found
+    found = [row.word for row in stop.select("word").limit(MOST_LISTED + 1).collect()]
+    return found if len(found) <= MOST_LISTED else None
+
+
+def _without_joined(arrays: DataFrame, stop: DataFrame) -> DataFrame:
+    """`arrays` without the words of a long stop table, by a join.
+
+    Distinct words of all posts meet the table, not the words themselves: a word that is a third
+    of the text is one row. The words that are on the list come back to the posts' own distinct
+    words, and posts are put together again by a number of their row.
+    """
+    listed = stop.select(F.lower("word").alias("word")).where("word IS NOT NULL").distinct()
+    numbered = arrays.withColumn("row", F.monotonically_increasing_id())
+    each = numbered.select("row", F.explode(F.array_distinct("words")).alias("word"))
+    stopped = each.select("word").distinct().join(listed, "word", "left_semi")
+    found = each.join(stopped, "word").groupBy("row").agg(F.collect_set("word").alias("stopped"))
+    rest = F.when(F.col("stopped").isNull(), F.col("words")).otherwise(
+        F.filter("words", lambda w: ~F.array_contains("stopped", w))
+    )
+    return numbered.join(found, "row", "left").select("post_id", rest.alias("words"))
 
 
 def word_arrays(posts: DataFrame, stop: StopWords, drop_empty: bool = False) -> DataFrame:
     """`post_id, words`: basic tokens without stop words, ignoring case, one row per post.
 
-    Empty words count as words unless `drop_empty`. A stop list of any length, listed or a
-    DataFrame, is one predicate on the words within the post's row; ids need not be unique.
+    Empty words count as words unless `drop_empty`; ids need not be unique. A list is one
+    predicate on the words within the post's row; a table of more than `MOST_LISTED` words is
+    joined and stays off the driver.
     """
     raw = F.coalesce(T.basic_words(F.col("text")), F.array().cast("array<string>"))
     raw = F.array_remove(raw, "") if drop_empty else raw
     arrays = posts.select("post_id", raw.alias("words"))
     # The words are in lower case already.
-    lowered = sorted({word.lower() for word in _listed(stop) if word is not None})
+    listed = _listed(stop)
+    if listed is None:
+        return _without_joined(arrays, stop)
+    lowered = sorted({word.lower() for word in listed if word is not None})
     if not lowered:
         return arrays
     return arrays.withColumn("words", F.filter("words", lambda w: ~w.isin(lowered)))

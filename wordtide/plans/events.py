@@ -10,6 +10,7 @@ from wordtide.operators.words import live_tokens, normalized_tokens
 from wordtide.sinks.text import write_event_words
 from wordtide.sources.posts import day_name, history_json, history_listing, posts_json
 from wordtide.sources.stopwords import StopWords, without_stopwords
+from wordtide.streaming import history as stream_history
 from wordtide.streaming.bursts import stream_events, with_event_time
 
 KEPT = ["day", "batch_idx", "text"]
@@ -114,3 +115,32 @@ def write_history_events(
 ) -> None:
     """Words of `history_events_json` as text, a folder per batch."""
     write_event_words(history_events_json(spark, path, history_root, stop, **options), out)
+
+
+def write_history_baseline(history: DataFrame, stop: StopWords, path: str, align: str = "ordinal") -> int:
+    """Store the past counts that `stream_history_events` compares with; the number of days is returned."""
+    tokens = normalized_tokens(aligned_batches(history, align).select("batch_idx", "text"))
+    stream_history.write_baseline(tokens, path, stop)
+    return with_day(history).select("day").distinct().count()
+
+
+def stream_history_counts(
+    posts: DataFrame, baseline: DataFrame, n_days: int, stop: StopWords, align: str = "ordinal"
+) -> DataFrame:
+    """Counts of a stream's closed batches beside the stored average of other days.
+
+    `posts`: `day`, `event_time` with a watermark, `text`. `align` as in `aligned_batches`.
+    """
+    if align not in ("ordinal", "hour"):
+        raise ValueError(f"align is 'ordinal' or 'hour', not {align!r}")
+    placed = stream_history.anchored(posts) if align == "ordinal" else stream_history.hourly(posts)
+    tokens = normalized_tokens(placed.select("event_time", "batch_idx", "text"), stop)
+    return stream_history.stream_counts_vs_history(tokens, baseline, n_days)
+
+
+def stream_history_events(
+    posts: DataFrame, baseline: DataFrame, n_days: int, stop: StopWords, eta: float = 5, align: str = "ordinal"
+) -> DataFrame:
+    """`history_events` of a stream against a stored baseline, with the same rules."""
+    counts = stream_history_counts(posts, baseline, n_days, stop, align)
+    return bursts.history_margins(counts, n_days, eta)

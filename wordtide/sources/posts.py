@@ -87,6 +87,22 @@ def history_json(spark: SparkSession, root: str, zone: str = "UTC") -> DataFrame
     return rows.select(*columns, F.lit(None).cast("string").alias("lang"), "text", day.alias("day"))
 
 
+def history_json_stream(spark: SparkSession, root: str, zone: str = "UTC", **options) -> DataFrame:
+    """Posts below `root/<day>/<day>` as a stream over the files that arrive there, with their `day`.
+
+    What is not called like its day folder is skipped. `options` are those of the file source,
+    such as `maxFilesPerTrigger`.
+    """
+    reader = spark.readStream.schema(POST_JSON).options(**options)
+    rows = reader.json(f"{root.rstrip('/')}/*/*")
+    top = _listed(spark, root)[0].toUri().getRawPath().rstrip("/")
+    below = F.split(F.substring_index(F.col("_metadata.file_path"), f"{top}/", -1), "/")
+    day = F.url_decode(below[0])
+    columns = [F.col("id").alias("post_id"), times.parse_created_at(F.col("created_at"), zone).alias("ts")]
+    own = rows.where(below[0] == below[1])
+    return own.select(*columns, F.lit(None).cast("string").alias("lang"), "text", day.alias("day"))
+
+
 def _week_second():
     return F.lit(WEEK_START_EPOCH) + (F.col("doc_id") * SPREAD) % WEEK_SECONDS
 
@@ -112,6 +128,15 @@ def posts_stream_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posts_stream_from_events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """`posts_from_events` as a stream."""
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING"
+    events = spark.readStream.schema(schema).options(**options).parquet(f"{sf_dir}/{{events}}.parquet")
+    return events.select(
+        F.col("event_id").alias("post_id"), "ts", F.lit(None).cast("string").alias("lang"), F.col("event_type").alias("text")
+    )
+
+
 def posts_from_rendered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts of `documents`, rendered as JSON lines and parsed by the JSON source's schema."""
     posts = posts_from_documents(spark, sf_dir)
