@@ -96,3 +96,21 @@ def test_too_few_labels(spark, marks):
     labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT")
     assert all(r.score >= 0.5 for r in attention.quality_scores(docs, labels).collect())
     assert attention.quality_scores(cases.frame(spark, []), labels).count() == 0
+
+
+def test_repeated_ids_of_one_class_leave_the_other_its_place(spark):
+    """A sample of one per class: many texts of one id are one document."""
+    rows = [(0, f"{text} good words") for text in "abcdefgh"] * 3 + [(900, "junk%%% junk%%% " * 9)]
+    marks = [(0, 1), (900, 0), (5_000, 0), (5_003, 1)]  # two without a document
+    assert not any(zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in marks[:2])
+    labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT")
+    model = attention.learn(cases.frame(spark, rows), labels, sample=1)
+    good, bad = model.scores(pa.array(["a good words", "junk%%% junk%%% " * 9]))
+    assert good > 0.5 > bad
+
+
+def test_bags_are_bounded_by_passages(spark):
+    """A text of one-letter words has many passages in few bytes; no bag has more than asked for."""
+    docs = cases.frame(spark, [(1, "a " * 80_000), (2, "b"), (3, None)])
+    found = attention._bags(docs.selectExpr("doc_id", "1 AS y", "text"), 250).collect()
+    assert {r.doc_id: len(r.bag) // attention.FEATURES // 8 for r in found} == {1: 250, 2: 1, 3: 1}

@@ -7,9 +7,9 @@ a softmax of `w . (tanh(V h) * sigmoid(U h))`, and the weighted sum of encodings
 score. So a document with one bad passage among good ones can be told from a good one.
 
 The model is fitted in numpy on a bounded sample: up to `SAMPLE` labelled documents of each
-class, the ones of the least hashes of their ids. A text of over `BAG * PASSAGE * 20` bytes gives
-`BAG` of its passages, those of the least hashes of their places, others give all. Scoring
-is a map over documents, with the few thousand parameters in the task's closure.
+class, the ones of the least hashes of their ids, and up to `BAG` passages of each, those of the
+least hashes of their places. Scoring reads all passages: a map over documents, with the few
+thousand parameters in the task's closure.
 """
 
 from __future__ import annotations
@@ -189,21 +189,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = BAG) -> Model:
-    """Fit on up to `sample` documents of each class that are not held out.
+    """Fit on up to `sample` documents of each class that are not held out, up to `bag` passages of each.
 
     `labels` has `doc_id, quality`; repeated labels count once, contradicting and null ones
-    not at all. The sample is taken from ids, so only its texts are fetched.
+    not at all. The sample is taken from the labelled ids that have a document, so only its
+    texts are fetched. Of several texts with one id that of the least `tables.text_id` is
+    learnt from, so repeated rows count once.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("z")).where("y = z")
+    known = known.join(docs.select(F.col("doc_id").cast("bigint")).distinct(), "doc_id", "left_semi").select("doc_id", "y")
     chosen = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     # At most twice `sample` rows of two numbers.
-    wanted = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")
-    rows = _bags(wanted, bag).orderBy("doc_id", "tid").limit(4 * sample).toArrow()
+    texts = docs.select(F.col("doc_id").cast("bigint"), text_id().alias("tid"), "text").join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "y").agg(F.min(F.struct("tid", "text")).alias("one")).select("doc_id", "y", "one.text")
+    rows = _bags(one, bag).orderBy("doc_id").toArrow()
     total = sum(counts.values())
     parts = [np.frombuffer(x).reshape(-1, FEATURES) for x in rows.column("bag").to_pylist()]
     owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
@@ -213,25 +217,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bag: int = B
 
 
 def _bags(wanted: DataFrame, most: int) -> DataFrame:
-    """`doc_id, tid, y, bag`: features of the passages, of a long text of `most` of them."""
+    """`doc_id, y, bag`: features of `most` passages at most, chosen by a hash of their places."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.portions(batches):
             owner, x = passages(batch.column("text"))
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             found = []
-            for begin, end, length in zip(ends, ends[1:], batch.column("length").to_pylist(), strict=False):
+            for begin, end in zip(ends, ends[1:], strict=False):
                 own = x[begin:end]
-                if length > most * PASSAGE * 20 and len(own) > most:
+                if len(own) > most:
                     own = own[np.sort(np.argsort(W.mix(np.arange(len(own), dtype=np.uint64)))[:most])]
                 found.append(own.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "tid", "y")), pa.array(found, pa.binary())], ["doc_id", "tid", "y", "bag"]
+                [*(batch.column(c) for c in ("doc_id", "y")), pa.array(found, pa.binary())], ["doc_id", "y", "bag"]
             )
 
-    length = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("length")
-    named = wanted.select(F.col("doc_id").cast("bigint"), text_id().alias("tid"), F.col("y").cast("int"), length, "text")
-    return named.mapInArrow(encode, "doc_id BIGINT, tid BIGINT, y INT, bag BINARY")
+    return wanted.select("doc_id", F.col("y").cast("int"), "text").mapInArrow(encode, "doc_id BIGINT, y INT, bag BINARY")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
