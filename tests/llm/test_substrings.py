@@ -44,3 +44,24 @@ def test_documents_keep_their_columns(spark):
     assert cut.schema.names == docs.schema.names
     for row in cut.collect():
         assert row.n_chars == len(row.text or "") and row.n_words == 7
+
+
+def _twins(n):
+    """A word of `n` letters whose number of letters b is even up to each place, and its opposite."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("remover", ["substrings", "suffixes"])
+def test_words_that_polynomials_confuse(spark, remover):
+    """Sequences with one value modulo 2^64 in every odd base are different words, and stay."""
+    from wordtide.llm import suffixes
+
+    one, two = _twins(1024)
+    before = cases.words(1, 49)
+    rows = [(1, " ".join([*before, one])), (2, " ".join([*before, two])), (3, " ".join([*before, one]))]
+    # The same with words for letters.
+    rows += [(4 + i, " ".join("red blue".split()[c == "a"] for c in t)) for i, t in enumerate(_twins(2048))]
+    docs = cases.frame(spark, rows)
+    found = substrings.substring_dedup(docs) if remover == "substrings" else suffixes.suffix_dedup(docs)
+    assert rows_of(found) == sorted(brute.removed_words(rows), key=repr)

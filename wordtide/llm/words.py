@@ -7,7 +7,9 @@ Two kinds of words, both recognised byte by byte in UTF-8:
 
 A hash is a polynomial over the bytes (or, for a run of words, over word hashes) modulo 2^64,
 taken from prefix sums and then mixed, so all runs of one length cost a few array operations.
-Two given different words or runs share a hash with a probability of about 2^-60.
+Long sequences have well-known collisions modulo 2^64 whatever the base, so no polynomial is
+longer than `LONG` terms: longer words are hashed as bytes, longer runs by a mixed chain of
+parts, whole texts (128 bits) over their word hashes.
 """
 
 from __future__ import annotations
@@ -18,10 +20,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SPACED, PLAIN = "spaced", "plain"
 #: Bytes that are split at a time; bounds the work space, not the length of a text.
 PIECE = 1 << 20
+#: Terms of a polynomial at most.
+LONG = 64
 
 _U = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15
@@ -71,6 +76,9 @@ def _alphabet(kind: str) -> tuple[np.ndarray, np.ndarray]:
     return inside, _TABLE[lowered]
 
 
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
 _ALPHABETS = {kind: _alphabet(kind) for kind in (SPACED, PLAIN)}
 
 
@@ -139,7 +147,11 @@ def split(texts: pa.Array, kind: str) -> Words:
         powers, inverse = _byte_powers.get(to - at)
         sums = np.zeros(to - at + 1, np.uint64)
         np.cumsum(value_of[data[at:to]] * powers, out=sums[1:])
-        found_hashes.append(mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+        hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            word = data[at + starts[i] : at + ends[i]].tobytes()
+            hashes[i] = xxhash.xxh3_64_intdigest(word.translate(_LOWER) if kind == PLAIN else word)
+        found_hashes.append(hashes)
         found_starts.append(starts + at)
         found_ends.append(ends + at)
         at = to
@@ -158,6 +170,9 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     n = len(hashes) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    if length > LONG:
+        first, rest = run_hashes(hashes, LONG), run_hashes(hashes, length - LONG)
+        return mix(first[:n] * _U(_BYTE_BASE) + rest[LONG : LONG + n])
     powers, inverse = _word_powers.get(len(hashes))
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * powers, out=sums[1:])
@@ -198,11 +213,10 @@ def _spans(words: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def fingerprints(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each text's sequence of words, as two 64-bit halves."""
-    halves = []
-    for salt in (0, 0x5851F42D4C957F2D):
-        salted = Words(mix(words.hashes + _U(salt)), words.offsets, *[words.starts] * 2, words.data, words.bounds)
-        halves.append(_spans(salted, words.offsets[:-1], words.offsets[1:]))
-    return halves[0], halves[1]
+    raw, offsets = memoryview(np.ascontiguousarray(words.hashes)).cast("B"), (words.offsets * 8).tolist()
+    whole = b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets, offsets[1:], strict=False))
+    halves = np.frombuffer(whole, np.uint64).reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def signed(x: np.ndarray) -> pa.Array:
