@@ -34,7 +34,7 @@ SCALE = 2_000_000
 #: Bits of a table of hashes: 16 MB.
 SLOTS = 1 << 27
 #: Bytes of text that are counted at a time, and counts that a task holds before it sends them.
-PORTION, HELD = 3 << 20, 1_500_000
+PORTION, HELD = 2 << 20, 1_000_000
 #: Entries of a summary that hash partitions are made small enough for.
 ENTRIES = 1 << 20
 
@@ -278,7 +278,9 @@ def surviving(sent: DataFrame, threshold: int) -> DataFrame:
 
         part, mass, summary = None, 0, None
         for batch in batches:
-            for p, is_count, m, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            numbers = (batch.column(c).to_pylist() for c in ("part", "is_count", "mass"))
+            keys, counts = batch.column("keys"), batch.column("counts")
+            for i, (p, is_count, m) in enumerate(zip(*numbers, strict=True)):
                 if p != part:
                     yield from kept(summary)
                     part, mass, summary = p, 0, None
@@ -286,7 +288,9 @@ def surviving(sent: DataFrame, threshold: int) -> DataFrame:
                     mass += m
                     continue
                 summary = summary or Summary(mass // threshold + 1)
-                summary.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64))
+                # Copied, so that the batch can go before the summary takes them in.
+                block = np.frombuffer(keys[i].as_buffer(), np.uint64).copy()
+                summary.add(block, np.frombuffer(counts[i].as_buffer(), np.uint32).astype(np.int64))
         yield from kept(summary)
 
     sorted_ = sent.repartition("part").sortWithinPartitions("part", "is_count")
@@ -325,7 +329,8 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     frequent = context.broadcast(bits_of(often.select("slot")))
     mass = (longest - 1) * (words.agg(F.sum("a")).first()[0] or 0)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    log_parts = max(2 * partitions, mass // (threshold * ENTRIES)).bit_length()
+    # Several for each task, so that tasks are alike and blocks small.
+    log_parts = max(8 * partitions, mass // (threshold * ENTRIES)).bit_length()
     slots = surviving(_sent(docs, frequent, log_parts, longest), threshold)
     candidates = context.broadcast(bits_of(slots))
     phrases = written(phrase_counts(docs, frequent, candidates, threshold, longest), "phrases")
