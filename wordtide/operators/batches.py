@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordtide.functions import patterns as P, times
+from wordtide.operators import chains
 from wordtide.operators.small import join_lookup
 
 
@@ -26,63 +27,32 @@ def with_day(posts: DataFrame) -> DataFrame:
     return posts if "day" in posts.columns else posts.withColumn("day", F.to_date("ts"))
 
 
-def _chains(posts: DataFrame, seconds: int) -> DataFrame:
-    """`day, seconds, anchors`: the distinct seconds of each day and the anchors among them.
-
-    The first post of a day opens batch 0; the first post more than `seconds` after the
-    anchor opens the next one, so gaps make no empty batches. The chain is sequential
-    within a day, so it runs over the day's distinct seconds: posts are reduced to those
-    on all tasks first, and what meets in one group is at most 86,400 numbers per
-    calendar day that a day's file spans, however many posts there are.
-    """
+def _blocks(posts: DataFrame, seconds: int) -> DataFrame:
     second = times.epoch_second(F.col("ts"))
-    distinct = with_day(posts).select("day", second.alias("second")).distinct()
-    per_day = distinct.where("second IS NOT NULL").groupBy("day").agg(
-        F.sort_array(F.collect_list("second")).alias("seconds")
-    )
-
-    def extend(anchors, s):
-        opens = s > F.element_at(anchors, -1) + seconds
-        return F.when(opens, F.concat(anchors, F.array(s))).otherwise(anchors)
-
-    anchors = F.aggregate("seconds", F.slice("seconds", 1, 1), extend)
-    return per_day.withColumn("anchors", anchors)
-
-
-def _slot(second: Column, seconds: int) -> Column:
-    return F.floor(second / seconds).cast("bigint")
+    return chains.blocks(with_day(posts).select("day", second.alias("second")), seconds)
 
 
 def _slots(posts: DataFrame, seconds: int) -> DataFrame:
-    """`day, slot, late_idx, late_sec, early_sec` for each aligned slot that holds posts.
-
-    Anchors are more than `seconds` apart, so at most two batches meet in a slot of that
-    length: the one open before (`early_sec`), and the one opened inside (`late_sec`).
-    """
-    slots = F.array_distinct(F.transform("seconds", lambda s: _slot(s, seconds)))
-    placed = _chains(posts, seconds).select("day", "anchors", F.explode_outer(slots).alias("slot"))
-    opened = F.size(F.filter("anchors", lambda a: a < (F.col("slot") + 1) * seconds))
-    return placed.withColumn("late_idx", opened - 1).select(
-        "day",
-        "slot",
-        "late_idx",
-        F.get("anchors", F.col("late_idx")).alias("late_sec"),
-        F.get("anchors", F.col("late_idx") - 1).alias("early_sec"),
-    )
+    """`day, slot, late_idx, late_sec, early_sec` for each aligned slot that holds posts."""
+    return chains.slots(_blocks(posts, seconds), seconds)[0]
 
 
 def with_replay_batch(posts: DataFrame, seconds: int = P.BATCH_SECONDS) -> DataFrame:
     """Add `day`, `batch_idx` and `anchor_sec` of the replay batch that holds the post.
 
+    The first post of a day opens batch 0; the first post more than `seconds` after the
+    anchor opens the next one, so gaps make no empty batches (`operators.chains`).
+
     An equi join with one row per day and slot, so posts stay where they are while that
     lookup is small (`join_lookup`). It grows with the hours covered, not with the posts.
     """
     second = times.epoch_second(F.col("ts"))
     late = second >= F.col("late_sec")
-    placed = with_day(posts).withColumn("slot", _slot(second, seconds))
+    placed = with_day(posts).withColumn("slot", chains.slot_of(second, seconds))
+    lookup, n_slots = chains.slots(_blocks(posts, seconds), seconds)
     # Seconds differ enough within a slot to spread its posts, should the lookup be large.
     return (
-        join_lookup(placed, _slots(posts, seconds), ["day", "slot"], second)
+        join_lookup(placed, lookup, ["day", "slot"], second, count=n_slots)
         .withColumn("batch_idx", F.when(late, F.col("late_idx")).otherwise(F.col("late_idx") - 1))
         .withColumn("anchor_sec", F.when(late, F.col("late_sec")).otherwise(F.col("early_sec")))
         .select("day", *[c for c in posts.columns if c != "day"], "batch_idx", "anchor_sec")

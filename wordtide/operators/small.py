@@ -12,15 +12,21 @@ SALTS = 64
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: Column, most: int | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    spread: Column,
+    most: int | None = None,
+    count: int | None = None,
 ) -> DataFrame:
     """`rows` with the columns of `lookup`, by equal `keys`.
 
-    The lookup's rows are counted, not fetched. Up to `most` are broadcast. More are
+    The lookup's rows are counted (unless `count` is known), not fetched. Up to `most` are broadcast. More are
     repeated for each of `SALTS` salts, and rows get their salt from a hash of `spread`, so
     a key with very many rows is spread over that many tasks.
     """
-    if lookup.count() <= (BROADCAST_ROWS if most is None else most):
+    count = lookup.count() if count is None else count
+    if count <= (BROADCAST_ROWS if most is None else most):
         return rows.join(F.broadcast(lookup), list(keys))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -21,3 +21,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return tempfile.mkdtemp(prefix=f"{label}-")
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """`frame` written as Parquet to a folder of its own and read again: computed once."""
+    path = f"{scratch_folder(frame.sparkSession, label)}/table"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
