@@ -320,14 +320,18 @@ def lda_post_topics(spark, sf_dir):
     return _lda(spark, sf_dir).post_topics()
 
 
-def lda_post_sums(spark, sf_dir):
-    """What holds of any fit: a mixture sums to 1, or to 0 without a term of the vocabulary."""
+def _mixture_sums(mixtures):
     total = F.aggregate("mixture", F.lit(0.0), lambda a, b: a + b)
-    return _lda(spark, sf_dir).post_topics().select(
+    return mixtures.select(
         "post_id", F.size("mixture").alias("n_topics"), F.round(total, 6).alias("total")
     )
 
 
+def lda_post_sums(spark, sf_dir):
+    """What holds of any fit: a mixture sums to 1, or to 0 without a term of the vocabulary."""
+    return _mixture_sums(_lda(spark, sf_dir).post_topics())
+
+
 def lda_quality(spark, sf_dir):
     return _lda(spark, sf_dir).quality()
 
@@ -365,6 +369,21 @@ def stream_events_poisson(spark, sf_dir):
     return spark.read.schema(schema).parquet(out).drop("day")
 
 
+def stream_post_sums(spark, sf_dir):
+    """Posts of a stream scored by a model that was saved and read again."""
+    folder = scratch_folder(spark, "topics")
+    _lda(spark, sf_dir).save(f"{folder}/saved")
+    model = topics.load_topics(f"{folder}/saved")
+    arriving = sources.posts_stream_from_documents(spark, sf_dir)
+    scored = model.score(topic_plans.words_between(arriving, *WEEK, COMMON))
+    running = (
+        scored.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True).start(f"{folder}/out")
+    )
+    running.awaitTermination()
+    return _mixture_sums(spark.read.schema(scored.schema).parquet(f"{folder}/out"))
+
+
 def _run_replay(spark, arriving, delay, day, rows_of):
     """Run a stream of posts with a `day` to its end; `rows_of` makes its rows."""
     folder = scratch_folder(spark, "replay")
@@ -477,6 +496,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lda_post_topics": lda_post_topics,
         "lda_post_sums": lda_post_sums,
         "lda_quality": lda_quality,
+        "stream_post_sums": stream_post_sums,
         "stream_event_words": stream_event_words,
         "stream_events_poisson": stream_events_poisson,
         "stream_replay_batches": stream_replay_batches,

@@ -242,6 +242,14 @@ def _oracle_sql() -> dict[str, str]:
     replay = {"past": _past("replay_counts", 2, "day,")}
     live = {"past": _past("live_counts", 5)}
     history = "SELECT * FROM versus_history"
+    post_sums = _query(
+        """SELECT post_id, CAST(10 AS INTEGER) AS n_topics,
+               CASE WHEN list_has_any(words, (SELECT list(term) FROM vocabulary)) THEN 1.0::DOUBLE
+                    ELSE 0.0::DOUBLE END AS total
+        FROM kept""",
+        "kept",
+        "vocabulary",
+    )
     return {
         "posts": _query("SELECT * FROM posts", "posts"),
         "event_time_parse": _query(
@@ -412,12 +420,6 @@ def _oracle_sql() -> dict[str, str]:
             SELECT CAST(t AS INTEGER) AS topic, CAST(10 AS INTEGER) AS n_terms, true AS all_known,
                    true AS descending
             FROM range(10) r(t)""",
-        "lda_post_sums": _query(
-            """SELECT post_id, CAST(10 AS INTEGER) AS n_topics,
-                   CASE WHEN list_has_any(words, (SELECT list(term) FROM vocabulary)) THEN 1.0::DOUBLE
-                        ELSE 0.0::DOUBLE END AS total
-            FROM kept""",
-            "kept",
-            "vocabulary",
-        ),
+        "lda_post_sums": post_sums,
+        "stream_post_sums": post_sums,
     }

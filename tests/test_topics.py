@@ -113,3 +113,31 @@ def test_vectors_are_kept_until_closed(make_posts):
     assert model.features.storageLevel.useDisk
     model.close()
     assert not model.features.storageLevel.useDisk
+
+
+def test_saved_models_score_stored_and_streamed_posts_alike(spark, make_posts, tmp_path):
+    """In one session, what was fitted and what was read back differ in nothing."""
+    texts = ["red green blue red", "cat dog bird", "", None, "cat red", "unknown words", "red green", "dog dog"]
+    posts = make_posts(list(enumerate(texts * 4)))
+    with topics.fit_topics(topics.word_arrays(posts, []), k=2, max_iter=3, vocabulary_size=6) as fitted:
+        fitted.save(str(tmp_path / "saved"))
+        with pytest.raises(Exception, match="exist"):
+            fitted.save(str(tmp_path / "saved"))
+        expected = sorted(map(tuple, fitted.post_topics().collect()))
+        described = fitted.topics().collect()
+    saved = topics.load_topics(str(tmp_path / "saved"))
+    assert saved.topics().collect() == described
+    assert sorted(map(tuple, saved.score(topics.word_arrays(posts, [])).collect())) == expected
+
+    for part in range(3):
+        posts.where(f"post_id % 3 = {part}").write.parquet(str(tmp_path / f"posts/{part}"))
+    arriving = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "posts/*"))
+
+    def run():
+        scored = saved.score(topics.word_arrays(arriving, []))
+        stream = scored.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint"))
+        stream.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        return sorted(map(tuple, spark.read.schema(scored.schema).parquet(str(tmp_path / "out")).collect()))
+
+    assert run() == expected
+    assert run() == expected  # a restart adds nothing

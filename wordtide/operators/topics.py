@@ -6,7 +6,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -81,9 +81,7 @@ def vocabulary(words: DataFrame, size: int = P.VOCABULARY_SIZE) -> DataFrame:
 def vectorizer(words: DataFrame, size: int = P.VOCABULARY_SIZE) -> CountVectorizerModel:
     """A count vectoriser over `vocabulary`; its at most `size` terms go to the driver."""
     rows = vocabulary(words, size).orderBy("term_idx").collect()
-    return CountVectorizerModel.from_vocabulary(
-        [row.term for row in rows], inputCol="words", outputCol="features"
-    )
+    return _counter([row.term for row in rows])
 
 
 def _terms(terms: Sequence[str], index: Column) -> Column:
@@ -101,8 +99,43 @@ def bag_of_words(words: DataFrame, model: CountVectorizerModel) -> DataFrame:
     )
 
 
+def _counter(terms: Sequence[str]) -> CountVectorizerModel:
+    return CountVectorizerModel.from_vocabulary(list(terms), inputCol="words", outputCol="features")
+
+
+def _mixtures(model: LDAModel, features: DataFrame) -> DataFrame:
+    mixed = model.transform(features)
+    return mixed.select("post_id", vector_to_array("topicDistribution").alias("mixture"))
+
+
 @dataclass
-class TopicModel:
+class SavedTopics:
+    """A model and the terms of its vocabulary, read from a folder: for posts other than those
+    of the fit, stored or of a stream."""
+
+    model: LDAModel
+    terms: list[str]
+
+    def topics(self, n_terms: int = P.TOPIC_TERMS) -> DataFrame:
+        """`topic, terms, weights`, the terms joined by commas."""
+        described = self.model.describeTopics(n_terms)
+        words = F.transform("termIndices", lambda i: _terms(self.terms, i))
+        return described.select(
+            "topic",
+            F.concat_ws(",", words).alias("terms"),
+            F.col("termWeights").alias("weights"),
+        )
+
+    def score(self, words: DataFrame) -> DataFrame:
+        """`post_id, mixture` of rows `post_id, words` (`word_arrays`), each by itself: no shuffle, no state.
+
+        Words beyond the vocabulary do not count; without any that does, a mixture is all zero.
+        """
+        return _mixtures(self.model, _counter(self.terms).transform(words))
+
+
+@dataclass
+class TopicModel(SavedTopics):
     """A fitted model, the vectors it came from, the terms of its vocabulary, and how long
     the fit took.
 
@@ -110,9 +143,7 @@ class TopicModel:
     them go. Used as a context manager, the model closes itself.
     """
 
-    model: LDAModel
     features: DataFrame
-    terms: list[str]
     fit_seconds: float = 0.0
 
     def close(self) -> None:
@@ -124,20 +155,15 @@ class TopicModel:
     def __exit__(self, *error) -> None:
         self.close()
 
-    def topics(self, n_terms: int = P.TOPIC_TERMS) -> DataFrame:
-        """`topic, terms, weights`, the terms joined by commas."""
-        described = self.model.describeTopics(n_terms)
-        words = F.transform("termIndices", lambda i: _terms(self.terms, i))
-        return described.select(
-            "topic",
-            F.concat_ws(",", words).alias("terms"),
-            F.col("termWeights").alias("weights"),
-        )
-
     def post_topics(self) -> DataFrame:
         """`post_id, mixture`."""
-        mixed = self.model.transform(self.features)
-        return mixed.select("post_id", vector_to_array("topicDistribution").alias("mixture"))
+        return _mixtures(self.model, self.features)
+
+    def save(self, path: str) -> None:
+        """Write the model and its terms to a new folder that executors share; see `load_topics`."""
+        self.model.save(f"{path}/model")
+        # Last: a folder with terms is complete.
+        _counter(self.terms).save(f"{path}/terms")
 
     def quality(self) -> DataFrame:
         """`log_likelihood, log_perplexity` bounds, one row.
@@ -174,4 +200,10 @@ def fit_topics(
     except BaseException:
         features.unpersist()
         raise
-    return TopicModel(model, features, counter.vocabulary, seconds)
+    return TopicModel(model, list(counter.vocabulary), features, seconds)
+
+
+def load_topics(path: str) -> SavedTopics:
+    """The model that `TopicModel.save` wrote to `path`; needs a running session."""
+    terms = CountVectorizerModel.load(f"{path}/terms").vocabulary
+    return SavedTopics(LocalLDAModel.load(f"{path}/model"), list(terms))
