@@ -350,7 +350,8 @@ def _run_stream(spark, sf_dir, eta, write):
     arriving = streams.with_closing(sources.posts_stream_from_documents(spark, sf_dir), closing)
     timed = streams.with_event_time(arriving, DISORDER).select("event_time", "text")
     events = streams.stream_events(words.normalized_tokens(timed, COMMON), 5, eta)
-    streams.run_to_the_end(spark, lambda: write(events, f"{folder}/out", f"{folder}/checkpoint"), closing)
+    start = lambda: write(events, f"{folder}/out", f"{folder}/checkpoint")
+    streams.run_to_the_end(spark, start, closing, at_once=True)
     return f"{folder}/out"
 
 
