@@ -392,7 +392,7 @@ def _run_replay(spark, arriving, delay, day, rows_of):
     timed = streams.with_event_time(streams.with_closing(arriving, closing), delay)
     rows = rows_of(timed.withColumn("day", day.cast("string")).select("day", "event_time", "text"), folder)
     write = lambda: stream_replay.write_batches(rows, f"{folder}/out", f"{folder}/checkpoint")
-    streams.run_to_the_end(spark, write, closing)
+    streams.run_to_the_end(spark, write, closing, at_once=True)
     found = spark.read.schema(rows.schema).parquet(f"{folder}/out")
     return found.withColumn("batch_idx", F.col("batch_idx").cast("int"))
 

@@ -3,8 +3,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from wordtide.operators import batches
 from wordtide.plans import events as plans
-from wordtide.streaming import bursts as streams
+from wordtide.streaming import bursts as streams, history, replay
 
 HOUR = 3600
 BURSTS = [(h * HOUR + 7 * i, "calm " + f"burst{i} " * 60) for h in (2, 1, 5) for i in range(40)]
@@ -65,3 +66,23 @@ def test_closing_at_once_gives_the_same_in_two_triggers(spark, run):
         found[name] = sorted(map(tuple, rows)), triggers(checkpoint)
     assert found["once"][0] and found["once"][0] == found["twice"][0]
     assert found["once"][1] == 2 < found["twice"][1]
+
+
+def test_anchored_counts_closed_at_once_equal_the_stored_ones(spark, run, make_posts, tmp_path):
+    past = batches.with_day(make_posts([(s + 60, text) for s, text in BURSTS]))
+    n_days = plans.write_history_baseline(past, ["calm"], str(tmp_path / "baseline"))
+    baseline = history.read_baseline(spark, str(tmp_path / "baseline"))
+    out, checkpoint, posts = run(
+        BURSTS,
+        lambda timed: plans.stream_history_counts(timed, baseline, n_days, ["calm"]).drop("event_hour"),
+        replay.write_batches,
+        "anchored",
+        at_once=True,
+    )
+    columns = ["batch_idx", "word", "n_now", "n_past", "avg_past"]
+    both = [plans.aligned_batches(p).select("batch_idx", "text", F.lit(now).alias("now")) for p, now in ((posts, True), (past, False))]
+    tokens = plans.normalized_tokens(both[0].union(both[1]), ["calm"])
+    stored = plans.bursts.current_vs_history(tokens, F.col("now"), n_days).select(*columns)
+    got = spark.read.parquet(out).select(*columns)
+    assert got.count() and sorted(map(tuple, got.collect())) == sorted(map(tuple, stored.collect()))
+    assert triggers(checkpoint) == 2
