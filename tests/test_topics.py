@@ -1,4 +1,6 @@
 import pytest
+from pyspark import StorageLevel
+from pyspark.ml.clustering import LDA
 from pyspark.sql import functions as F
 
 from wordtide.operators import topics
@@ -115,6 +117,44 @@ def test_vectors_are_kept_until_closed(make_posts):
     assert not model.features.storageLevel.useDisk
 
 
+def test_passes_do_not_read_the_persisted_frame(make_posts, monkeypatch):
+    """The optimiser has vectors of its own, and fits what it would of the persisted ones."""
+    levels = []
+
+    class Watched(LDA):
+        def fit(self, dataset, params=None):
+            levels.append(dataset.storageLevel)
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(topics, "LDA", Watched)
+    arrays = topics.word_arrays(make_posts(list(enumerate(["a a b c", "b c", "", None, "c d d"] * 9))), [])
+    with topics.fit_topics(arrays, k=2, max_iter=5, vocabulary_size=5) as model:
+        assert levels == [StorageLevel(False, False, False, False, 1)]
+        assert model.features.storageLevel == StorageLevel.DISK_ONLY
+        plain = LDA(k=2, maxIter=5, optimizer="online", seed=topics.SEED).fit(model.features)
+        found = model.model.topicsMatrix().toArray()
+        assert found.sum() > 0 and found == pytest.approx(plain.topicsMatrix().toArray(), rel=1e-9)
+
+
+def test_large_partitions_are_dealt(spark, make_posts, monkeypatch):
+    """The same model and mixtures however the posts lie in partitions; ids may repeat or be null."""
+    monkeypatch.setattr(topics, "POSTS_A_PART", 10)
+    texts = ["red green blue red", "cat dog bird", "", None, "cat red", "unknown", "red green", "dog dog"]
+    rows = make_posts(list(enumerate(texts * 8))).withColumn("post_id", F.expr("IF(post_id % 5 = 0, NULL, post_id % 20)"))
+    data, schema = rows.collect(), rows.schema
+    fits = []
+    for posts in (data, data[::-1]):
+        arrays = topics.word_arrays(spark.createDataFrame(posts, schema).coalesce(1), [])
+        with topics.fit_topics(arrays, k=2, max_iter=5, vocabulary_size=6) as model:
+            assert model.features.rdd.getNumPartitions() == 7
+            mixtures = [(r.post_id, [round(x, 6) for x in r.mixture]) for r in model.post_topics().collect()]
+            fits.append((model.model.topicsMatrix().toArray(), sorted(mixtures, key=repr), model.quality().first()))
+    (matrix, mixtures, quality), (other, others, again) = fits
+    assert matrix == pytest.approx(other, rel=1e-9)
+    assert len(mixtures) == len(data) and mixtures == others
+    assert tuple(quality) == pytest.approx(tuple(again), rel=1e-9)
+
+
 def test_saved_models_score_stored_and_streamed_posts_alike(spark, make_posts, tmp_path):
     """In one session, what was fitted and what was read back differ in nothing."""
     texts = ["red green blue red", "cat dog bird", "", None, "cat red", "unknown words", "red green", "dog dog"]

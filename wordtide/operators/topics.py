@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +19,8 @@ from wordtide.sources.stopwords import StopWords
 SEED = 42
 #: Longest stop table that is read to the driver, to become a hash set of the predicate.
 MOST_LISTED = 20_000
+#: Posts of a partition of the fit, about: some seconds of scoring.
+POSTS_A_PART = 8_192
 
 
 def _listed(stop: StopWords) -> list[str] | None:
@@ -103,6 +107,27 @@ def _counter(terms: Sequence[str]) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary(list(terms), inputCol="words", outputCol="features")
 
 
+def _dealt(features: DataFrame) -> DataFrame:
+    """Persisted vectors, dealt anew where the source's partitions are larger than `POSTS_A_PART`.
+
+    Each pass of a fit waits for its slowest core: a few large partitions leave cores idle, and
+    a file of one row group would be one task. Rows are dealt and sorted by all they hold, so one
+    seed draws the same samples again, however the source lies in files.
+    """
+    parts = math.ceil(features.count() / POSTS_A_PART)
+    if parts <= features.rdd.getNumPartitions():
+        return features
+    row = F.col("post_id"), F.unwrap_udt("features")
+    dealt = features.repartition(parts, *row).sortWithinPartitions(*row).persist(StorageLevel.DISK_ONLY)
+    try:
+        dealt.count()
+    except BaseException:
+        dealt.unpersist()
+        raise
+    features.unpersist()
+    return dealt
+
+
 def _mixtures(model: LDAModel, features: DataFrame) -> DataFrame:
     mixed = model.transform(features)
     return mixed.select("post_id", vector_to_array("topicDistribution").alias("mixture"))
@@ -186,16 +211,19 @@ def fit_topics(
     vocabulary_size: int = P.VOCABULARY_SIZE,
     seed: int = SEED,
 ) -> TopicModel:
-    """Fit online LDA, its vectors persisted for the passes of the optimiser and for scoring.
+    """Fit online LDA, its vectors persisted on disk for the optimiser and for scoring.
 
-    They spill to disk, and a lost executor's share is computed again from the source.
+    A lost executor's share is computed again from the source. The optimiser is given a
+    projection, which is not persisted itself: so it keeps vectors of its own as objects, in
+    memory as far as they fit, and a pass skips to the vectors it samples. Of a persisted
+    frame each pass would decode every vector.
     """
     counter = vectorizer(words, vocabulary_size)
-    features = counter.transform(words).select("post_id", "features")
-    features.persist()
+    features = counter.transform(words).select("post_id", "features").persist(StorageLevel.DISK_ONLY)
     try:
         start = time.perf_counter()
-        model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(features)
+        features = _dealt(features)
+        model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(features.select("features"))
         seconds = time.perf_counter() - start
     except BaseException:
         features.unpersist()
