@@ -342,6 +342,9 @@ def lda_quality(spark, sf_dir):
 #: Files of `documents` are in no order of time, and span a week.
 DISORDER = "8 days"
 
+#: Batches of a day: with such a disorder, batches need not be reported hour by hour.
+BLOCK = 24
+
 
 def _run_stream(spark, sf_dir, eta, write):
     """Run the stream to its end; `write` starts it on events, a folder and a checkpoint."""
@@ -349,8 +352,13 @@ def _run_stream(spark, sf_dir, eta, write):
     closing = f"{folder}/closing"
     arriving = streams.with_closing(sources.posts_stream_from_documents(spark, sf_dir), closing)
     timed = streams.with_event_time(arriving, DISORDER).select("event_time", "text")
-    events = streams.stream_events(words.normalized_tokens(timed, COMMON), 5, eta)
-    start = lambda: write(events, f"{folder}/out", f"{folder}/checkpoint")
+    events = streams.stream_events(words.normalized_tokens(timed, COMMON), 5, eta, block=BLOCK)
+
+    def start():
+        # The counts of a week: on the executors' disks, not in their heaps.
+        with stream_replay.keyed_state(spark, row_counts=False):
+            return write(events, f"{folder}/out", f"{folder}/checkpoint")
+
     streams.run_to_the_end(spark, start, closing, at_once=True)
     return f"{folder}/out"
 

@@ -86,6 +86,14 @@ def current_vs_history(tokens: DataFrame, is_current: Column, n_days: Column | i
     )
 
 
+def least_margin(eta: float, samples: int, alpha: float = P.CONFIDENCE, textbook: bool = False) -> Column:
+    """What the count of any event of `with_margin` is above: its margin, or a bound of it, without a past."""
+    none = F.lit(0.0)
+    if eta < 0:
+        return F.abs(F.lit(eta)) * F.sqrt(none + 10) + 20
+    return eta * poisson_ci_floor(none, samples, alpha, textbook)
+
+
 def with_margin(
     counts: DataFrame,
     eta: float,

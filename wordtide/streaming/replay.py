@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from wordtide.functions import patterns as P, times
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROW_COUNTS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 #: Aligned slots of a batch, by which posts find it.
@@ -31,17 +32,24 @@ OPENED = "day STRING, batch_idx BIGINT, anchor_time TIMESTAMP"
 
 
 @contextmanager
-def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def keyed_state(spark: SparkSession, row_counts: bool | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which keyed state with timers needs.
+
+    Without `row_counts` a query's progress does not tell how many rows its state has, and a
+    write need not look for the row before it.
+    """
+    settings = {PROVIDER: ROCKSDB} | ({} if row_counts is None else {ROW_COUNTS: str(row_counts).lower()})
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 class _Chain(StatefulProcessor):
